@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from quillstone.llm.common import materialise
 
 SHARD_ROWS = 16_384
-LEAF = 64
+LEAF = 128
 QUERY_BLOCK = 512
 
 
@@ -88,8 +88,7 @@ def search(tree: dict, q_ids: np.ndarray, q: np.ndarray, k: int, kth: np.ndarray
     # and a subtree whose root falls below the kth score holds no leaf above it
     number = np.flatnonzero(leaves)
     order = np.argsort(-bound[:, number], axis=1, kind="stable")
-    best_s = np.full((len(q), k), -np.inf)
-    best_i = np.full((len(q), k), np.iinfo(np.int64).max)
+    best_q, best_i, best_s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     floor = kth.copy()
     alive = np.arange(len(q))
     for step in range(len(number)):
@@ -98,19 +97,32 @@ def search(tree: dict, q_ids: np.ndarray, q: np.ndarray, k: int, kth: np.ndarray
         alive, leaf = alive[go], leaf[go]
         if not len(alive):
             break
-        for one in np.unique(leaf):
-            who = alive[leaf == one]
-            rows = slice(start[one], end[one])
+        by = np.argsort(leaf, kind="stable")
+        cuts = np.flatnonzero(np.diff(leaf[by], prepend=-1))
+        new = []
+        for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(by)], strict=True):
+            who, rows = alive[by[a:z]], slice(start[leaf[by[a]]], end[leaf[by[a]]])
             score = q[who] @ v[rows].T
-            score[ids[rows][None, :] == q_ids[who][:, None]] = -np.inf
-            alls = np.concatenate([best_s[who], score], axis=1)
-            alli = np.concatenate([best_i[who], np.broadcast_to(ids[rows], score.shape)], axis=1)
-            top = np.lexsort((alli, -alls), axis=1)[:, :k]
-            best_s[who], best_i[who] = np.take_along_axis(alls, top, 1), np.take_along_axis(alli, top, 1)
-            floor[who] = np.maximum(floor[who], best_s[who, k - 1])
-    found = np.isfinite(best_s) & (best_s >= kth[:, None])
-    row, _ = np.nonzero(found)
-    return row, best_i[found], best_s[found]
+            x, y = np.nonzero(score >= floor[who][:, None])
+            keep = ids[rows][y] != q_ids[who][x]
+            new.append((who[x][keep], ids[rows][y][keep], score[x, y][keep]))
+        # only queries with news are merged again
+        news = tuple(np.concatenate(c) for c in zip(*new, strict=True))
+        if not len(news[0]):
+            continue
+        touched = np.zeros(len(q), bool)
+        touched[news[0]] = True
+        old = touched[best_q]
+        qs, is_, ss = (np.concatenate([o[old], n]) for o, n in zip((best_q, best_i, best_s), news, strict=True))
+        top = np.lexsort((is_, -ss, qs))
+        qs, is_, ss = qs[top], is_[top], ss[top]
+        first = np.flatnonzero(np.diff(qs, prepend=-1))
+        place = np.arange(len(qs)) - np.repeat(first, np.diff(np.append(first, len(qs))))
+        kth_row = place == k - 1
+        floor[qs[kth_row]] = np.maximum(floor[qs[kth_row]], ss[kth_row])
+        keep = place < k
+        best_q, best_i, best_s = (np.concatenate([o[~old], n[keep]]) for o, n in zip((best_q, best_i, best_s), (qs, is_, ss), strict=True))
+    return best_q, best_i, best_s
 
 
 def top_k(vectors: DataFrame, *, k: int = 20, every: int = 20, scale: int = 64, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

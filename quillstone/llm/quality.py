@@ -112,8 +112,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array([bias]), pa.array([at.astype("<i4").tobytes()]), pa.array([w[at].astype("<f8").tobytes()])], ["bias", "at", "w"])
 
-    (row,) = bounded.mapInArrow(learn, "bias double, at binary, w binary").collect() or [None]
+    learned = bounded.mapInArrow(learn, "bias double, at binary, w binary").collect()
     w = np.zeros(1 << BITS)
+    if not learned:
+        return {"w": w, "bias": 0.0}
+    (row,) = learned
     w[np.frombuffer(row["at"], "<i4")] = np.frombuffer(row["w"], "<f8")
     return {"w": w, "bias": row["bias"]}
 

@@ -9,7 +9,10 @@ decompress the frames they want only.
 
 from __future__ import annotations
 
+import json
 import struct
+import sys
+import types
 import uuid
 import zlib
 
@@ -24,7 +27,7 @@ END_ID = 2
 BUCKET_DOCS = 8192
 MOST_BUCKETS = 4096  # beyond, files get longer, not more
 LEVEL = 3
-CACHE = 200_000
+CACHE = 500_000  # pieces that a worker process keeps, over its tasks
 # Fixed values of the format
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
@@ -33,33 +36,73 @@ DOC_ENTRY = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("tokens", "<u4")])
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that drops white space: words between ASCII blanks are encoded once and kept.
+    """Ids of texts by a tokenizer that drops white space.
 
-    ASCII blanks are white space to the normaliser and always split words, so a text's ids are its words' ids in a row.
+    Texts are lower-cased and cut by the tokenizer's own pattern into pieces, which are kept; pieces not seen before go to
+    the tokenizer in one joined text, whose ids are cut where a token ends a word. Where normal form or lower case of a
+    character could depend on its neighbours (from U+0250 on, and U+0130), the tokenizer gets the text's words between
+    ASCII blanks as they are, each word once: such blanks are white space to it and always split words.
     """
 
     def __init__(self, tokenizer_json: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(tokenizer_json), {}
+        # kept by the process, for the tasks that it runs later, under the tokenizer's own hash
+        kept = sys.modules.setdefault("_quillstone_pieces", types.ModuleType("_quillstone_pieces")).__dict__
+        self.known, self.pieces = kept.setdefault(hash(tokenizer_json), ({}, {}))
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        conf = json.loads(tokenizer_json)
+        suffix = conf["model"].get("end_of_word_suffix") or ""
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        split = conf["pre_tokenizer"]["pretokenizers"][0]
+        if split["type"] != "Split" or not suffix:
+            raise ValueError("a tokenizer with a pattern and an end-of-word suffix is wanted")
+        self.find = regex.compile(split["pattern"]["Regex"]).findall
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, pieces: set[str]) -> None:
+        fresh = [x for x in pieces if x not in self.pieces]
+        for at in range(0, len(fresh), 5_000):
+            part = fresh[at : at + 5_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(part):
+                raw, ends = ids.tobytes(), (4 * last).tolist()
+                self.pieces.update(zip(part, (raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
+            else:
+                self.pieces.update((x, self.whole(x)) for x in part)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split, known = [t.encode().split() for t in texts], self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = [w for w in {w for words in split for w in words} if w not in known]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            known.update(zip(part, (np.array(e.ids, "<u4").tobytes() for e in found), strict=True))
-        out = []
-        for text, words in zip(texts, split, strict=True):
+        for cache in (self.known, self.pieces):
+            if len(cache) > CACHE:
+                cache.clear()
+        known, pieces, cut = self.known, self.pieces, []
+        for text in texts:
             if any(s in text for s in self.specials):  # such a string may hold blanks
-                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+                cut.append(None)
+            elif text.isascii() or (max(text) < "\u0250" and "\u0130" not in text):
+                cut.append(self.find(text.lower()))
+            else:
+                cut.append(text.encode().split())
+                for w in set(cut[-1]) - known.keys():
+                    known[w] = self.whole(w.decode())
+        self.learn({x for parts in cut if parts and isinstance(parts[0], str) for x in parts})
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            if parts is None:
+                raw = self.whole(text)
             else:
-                ids = np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
-            out.append(np.append(ids, np.uint32(END_ID)).astype("<u4"))
+                raw = b"".join(map((pieces if parts and isinstance(parts[0], str) else known).__getitem__, parts))
+            out.append(np.append(np.frombuffer(raw, "<u4"), np.uint32(END_ID)).astype("<u4"))
         return out
 
 
@@ -127,12 +170,12 @@ def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_
 
         encoder, zip_ = Encoder(tokenizer_json), zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                ids = b.column(0).slice(at, 256)
+            for at in range(0, b.num_rows, 128):
+                ids = b.column(0).slice(at, 128)
                 null = np.array([not x.is_valid for x in ids])
                 number = ids.fill_null(0).to_numpy()
                 bucket = np.where(null, 0, np.searchsorted(bounds, number, "right")).astype(np.int32)
-                raw = [x.tobytes() for x in encoder.encode(b.column(1).slice(at, 256).to_pylist())]
+                raw = [x.tobytes() for x in encoder.encode(b.column(1).slice(at, 128).to_pylist())]
                 cols = [pa.array(bucket), pa.array(null), pa.array(number), pa.array([zip_.compress(r) for r in raw], pa.binary()), pa.array([len(r) for r in raw], pa.int64()), pa.array([xxhash.xxh64_intdigest(r) & 0xFFFFFFFF for r in raw], pa.int64())]
                 yield pa.RecordBatch.from_arrays(cols, ["bucket", "is_null", "doc_id", "frame", "size", "check"])
 

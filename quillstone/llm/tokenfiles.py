@@ -9,6 +9,7 @@ decompress the frames they want only.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 import sys
@@ -26,7 +27,7 @@ from quillstone.llm.common import shared_dir
 END_ID = 2
 BUCKET_DOCS = 8192
 MOST_BUCKETS = 4096  # beyond, files get longer, not more
-LEVEL = 3
+LEVEL = 1
 CACHE = 500_000  # pieces that a worker process keeps, over its tasks
 # Fixed values of the format
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
@@ -35,6 +36,15 @@ SEEK_ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("check", "<u4")])
 DOC_ENTRY = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("tokens", "<u4")])
 
 
+def plain(text: str) -> bool:
+    """Whether normal form and lower case of each character are its own."""
+    try:
+        text.encode("latin-1")  # quick, and true of most
+        return True
+    except UnicodeEncodeError:
+        return max(text) < "\u0250" and "\u0130" not in text
+
+
 class Encoder:
     """Ids of texts by a tokenizer that drops white space.
 
@@ -51,10 +61,7 @@ class Encoder:
         import regex
         from tokenizers import Tokenizer
 
-        # kept by the process, for the tasks that it runs later, under the tokenizer's own hash
-        kept = sys.modules.setdefault("_quillstone_pieces", types.ModuleType("_quillstone_pieces")).__dict__
-        self.known, self.pieces = kept.setdefault(hash(tokenizer_json), ({}, {}))
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer, self.known, self.pieces = Tokenizer.from_str(tokenizer_json), {}, {}
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         conf = json.loads(tokenizer_json)
         suffix = conf["model"].get("end_of_word_suffix") or ""
@@ -89,7 +96,7 @@ class Encoder:
         for text in texts:
             if any(s in text for s in self.specials):  # such a string may hold blanks
                 cut.append(None)
-            elif text.isascii() or (max(text) < "\u0250" and "\u0130" not in text):
+            elif plain(text):
                 cut.append(self.find(text.lower()))
             else:
                 cut.append(text.encode().split())
@@ -168,7 +175,11 @@ def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_
         import xxhash
         import zstandard
 
-        encoder, zip_ = Encoder(tokenizer_json), zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
+        kept = sys.modules.setdefault("_quillstone_encoders", types.ModuleType("_quillstone_encoders")).__dict__
+        name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
+        if name not in kept:  # a worker process builds it once and keeps its pieces for the tasks it runs later
+            kept[name] = Encoder(tokenizer_json)
+        encoder, zip_ = kept[name], zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         for b in batches:
             for at in range(0, b.num_rows, 128):
                 ids = b.column(0).slice(at, 128)

@@ -1,7 +1,7 @@
 """Token ids in seekable files: one zstandard frame for each document, a seek table with checksums at the end.
 
-A file of bucket b, `tokens-<b>.tzs`, holds the frames of its documents in ascending order of ids, then two skippable
-frames: an index of documents (id, flag of a null id, number of tokens) and a seek table of the seekable zstandard format
+A file of bucket b, `tokens-<b>-<part>.tzs`, holds the frames of FILE_DOCS documents at most in ascending order of ids,
+then two skippable frames: an index of documents (id, flag of a null id, number of tokens) and a seek table of the seekable zstandard format
 (compressed size, size and xxh64 checksum of each frame; then the count, a descriptor and a magic number). A frame is the
 document's ids as little-endian unsigned 32-bit integers. Readers fetch the tables from the end of the file and
 decompress the frames they want only.
@@ -26,7 +26,9 @@ from quillstone.llm.common import shared_dir
 
 END_ID = 2
 BUCKET_DOCS = 8192
-MOST_BUCKETS = 4096  # beyond, files get longer, not more
+MOST_BUCKETS = 4096  # beyond, a bucket has more files
+FILE_DOCS = 65_536  # documents of a file; the tables of one file are in memory at a time
+READ_TASKS = 20_000  # tasks that read files, at most
 LEVEL = 1
 CACHE = 500_000  # pieces that a worker process keeps, over its tasks
 # Fixed values of the format
@@ -156,7 +158,7 @@ class Reader:
 
 
 def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """Writes the files; returns bucket, path, docs, tokens of each.
+    """Writes the files; returns bucket, path, docs, tokens of each; by bucket and path they are in ascending order.
 
     Bounds of the buckets are percentiles of the ids, one bucket for about BUCKET_DOCS documents, MOST_BUCKETS at most. Texts are encoded and
     compressed before the shuffle, so frames travel, not texts. A file is written under a name of its own and then
@@ -196,21 +198,22 @@ def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         now = out = None
-        entries, docs_, sums = [], [], []
+        entries, docs_, sums, part = [], [], [], 0
 
         def close():
             frames = np.array(entries, SEEK_ENTRY)
             out.write(footer(np.array(docs_, DOC_ENTRY), frames))
             out.close()
-            name = f"{base}/tokens-{now:06d}.tzs"
-            store.move(draft, name)
-            sums.append((now, f"tokens-{now:06d}.tzs", len(entries), int(frames["size"].astype(np.int64).sum()) // 4))
+            name = f"tokens-{now:06d}-{part:08d}.tzs"
+            store.move(draft, f"{base}/{name}")
+            sums.append((now, name, len(entries), int(frames["size"].astype(np.int64).sum()) // 4))
 
         for b in batches:
             for bucket, null, number, frame, size, check in zip(*(b.column(i).to_pylist() for i in range(6)), strict=True):
-                if bucket != now:
+                if bucket != now or len(entries) >= FILE_DOCS:
                     if now is not None:
                         close()
+                    part = part + 1 if bucket == now else 0
                     now, entries, docs_ = bucket, [], []
                     draft = f"{base}/.draft-{bucket:06d}-{uuid.uuid4().hex}"
                     out = store.open_output_stream(draft)
@@ -231,7 +234,7 @@ def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_
 
 def read(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone."""
-    listing = files.orderBy("bucket").collect()  # one row for each file
+    listing = files.orderBy("bucket", "path").collect()  # one row for each file
     starts, total = [], 0
     for r in listing:
         starts.append((r["path"], total))
@@ -254,7 +257,7 @@ def read(files: DataFrame) -> DataFrame:
     shape = "doc_id long, start long, n_tokens long, ids_crc32 long"
     if not starts:
         return spark.createDataFrame([], shape)
-    return spark.createDataFrame(starts, "path string, start long").repartition(len(starts), "path").mapInArrow(load, shape)
+    return spark.createDataFrame(starts, "path string, start long").repartition(min(READ_TASKS, len(starts)), "path").mapInArrow(load, shape)
 
 
 def op6_seekable_token_files(spark, sf_dir: str) -> DataFrame:

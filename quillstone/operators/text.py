@@ -1,8 +1,11 @@
-"""Operators on texts: citations, own keys, contexts."""
+"""Operators on texts: citations, own keys, contexts, lines of pages, similarity of titles."""
 
 from __future__ import annotations
 
 import re
+import unicodedata
+from difflib import SequenceMatcher
+from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column
@@ -73,3 +76,142 @@ def native_citations(text: Column, pattern: str, family: str, groups: tuple[int,
     """Keys of one family by built-in functions alone, where place and amendment are not needed."""
     a, b = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups)
     return F.zip_with(a, b, lambda x, y: F.concat(F.lit(f"{family}:"), x.cast("int").cast("string"), F.lit("/"), y))
+
+
+def context(text: str, position: int, before: int = 300, after: int = 400) -> dict:
+    """What stands before and after a citation, cut at words, and the citation as the text writes it; blanks squeezed."""
+    squeezed = lambda s: re.sub(r"\s+", " ", s)
+    low, high = max(0, position - before), min(len(text), position + after)
+    if low:
+        gap = re.compile(r"\s").search(text, low, position)
+        low = gap.end() if gap else position
+    if high < len(text):
+        gap = text.rfind(" ", position, high)
+        high = gap if gap > position else high
+    number = re.compile(NUMBER).search(text, position, position + 80)
+    end = number.end() if number else position
+    return {"before": squeezed(text[low:position]).lstrip(), "cited": squeezed(text[position:end]), "after": squeezed(text[end:high]).rstrip()}
+
+
+# Fixed value: the written form of a cited number
+NUMBER = r"\d+\s*/\s*\d+(?:\s*Sb\.|\s*Z\.\s*z\.|/(?:ES|EU|EHS|EHK|ESUO|Euratom|EEC|ECSC|EC)\b)?"
+
+
+def contexts(text: Column, most: int = 3) -> Column:
+    """key, place and context of the first `most` citations of each key in a text."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        def places(t):
+            count, out = {}, []
+            for c in find_citations(t):
+                count[c["key"]] = count.get(c["key"], 0) + 1
+                if count[c["key"]] <= most:
+                    out.append({"key": c["key"], "place": count[c["key"]], **context(t, c["position"])})
+            return out
+
+        return texts.map(places)
+
+    return F.pandas_udf(run, "array<struct<key:string,place:int,before:string,cited:string,after:string>>")(text)
+
+
+# Elements of pages that end a line, that hold no text, and that are headings
+BLOCKS = frozenset("address article aside blockquote body dd div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody tfoot thead tr ul br title".split())
+SILENT = frozenset("script style noscript template head".split())
+
+
+class _Lines(HTMLParser):
+    """Lines of a page: a block is a line, a row of a table is one line of cells joined by a bar."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.lines: list[str] = []
+        self.text: list[str] = []
+        self.rows: list[list[str]] = []  # open rows, the innermost last
+        self.silent = 0
+
+    def flush(self) -> None:
+        line = re.sub(r"\s+", " ", "".join(self.text)).strip()
+        self.text.clear()
+        if not line:
+            return
+        if self.rows:
+            cells = self.rows[-1]
+            if cells:
+                cells[-1] = f"{cells[-1]}; {line}" if cells[-1] else line
+            else:
+                cells.append(line)
+        else:
+            self.lines.append(line)
+
+    def handle_starttag(self, tag, attrs) -> None:
+        if tag in SILENT:
+            self.silent += 1
+        elif tag in ("td", "th"):
+            self.flush()
+            if self.rows:
+                self.rows[-1].append("")
+        elif tag in BLOCKS:
+            self.flush()
+            if tag == "tr":
+                self.rows.append([])
+
+    def handle_endtag(self, tag) -> None:
+        if tag in SILENT:
+            self.silent = max(0, self.silent - 1)
+        elif tag in BLOCKS or tag in ("td", "th"):
+            self.flush()
+            if tag == "tr" and self.rows:
+                self.end_row()
+
+    def end_row(self) -> None:
+        cells = self.rows.pop()
+        if any(cells):
+            self.text.append(" | ".join(cells))
+            self.flush()
+
+    def handle_data(self, data) -> None:
+        if not self.silent:
+            self.text.append(data)
+
+    def result(self) -> str:
+        self.close()
+        self.flush()
+        while self.rows:
+            self.end_row()
+        return "\n".join(self.lines)
+
+
+def page_lines(page: str | None) -> str:
+    parser = _Lines()
+    parser.feed(page or "")
+    return parser.result()
+
+
+def html_lines(html: Column) -> Column:
+    """Text of a page, one block a line, rows of tables as `cell | cell`; scripts, styles and the head give none."""
+
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(page_lines)
+
+    return F.pandas_udf(run, "string")(html)
+
+
+def title_similarity(a: Column, b: Column, chars: int = 400) -> Column:
+    """Ratio of matching blocks of two texts' first characters (0 to 1, two decimals), case and blanks aside; null is blank."""
+
+    def norm(t: str | None) -> str:
+        return re.sub(r"\s+", " ", t or "").strip().lower()[:chars]
+
+    def run(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([round(SequenceMatcher(None, norm(x), norm(y)).ratio(), 2) for x, y in zip(left, right, strict=True)])
+
+    return F.pandas_udf(run, "double")(a, b)
+
+
+def query_form(c: Column) -> Column:
+    """Composed letters, plain blanks squeezed, case folded: the form in which search words are compared."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: re.sub(r"\s+", " ", unicodedata.normalize("NFC", t or "").replace("\xa0", " ")).strip().casefold())
+
+    return F.pandas_udf(run, "string")(c)

@@ -82,7 +82,7 @@ def anchored_lines(words: DataFrame, tolerance: float = 2.0) -> DataFrame:
     return placed.groupBy("doc", "page", "line").agg(F.min("anchor").alias("top"), F.array_join(texts, " ").alias("text"))
 
 
-def running_lines(lines: DataFrame, share: float = 0.5, least: int = 3) -> DataFrame:
+def running_lines(lines: DataFrame, share: float = 0.25, least: int = 3) -> DataFrame:
     """Lines (doc, page, text, in_margin) without those in margins whose text, digits aside, stands in the margins of
     max(least, share of the document's pages) pages, and without page numbers there."""
     text = F.trim(F.regexp_replace(F.regexp_replace(F.lower("text"), r"\d+", "#"), r"\s+", " "))

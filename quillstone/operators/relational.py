@@ -149,6 +149,16 @@ def first_rule(rules: Sequence[tuple[str, Column]], otherwise: str) -> Column:
     return out
 
 
+def address_outcome(code: Column, body: Column, blocked: Sequence[str], challenge: Sequence[str]) -> Column:
+    """What an answer says of an address: its code, and marks of block pages (in the first 4000 characters) and challenges."""
+    holds = lambda c, words: reduce(Column.__or__, [F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit(w.lower())) for w in words])
+    rules = [
+        ("unreachable", code.isNull()), ("blocked", code.between(200, 299) & holds(F.left(body, F.lit(4000)), blocked)), ("ok", code.between(200, 299)),
+        ("auth", code == 401), ("blocked", code.isin(403, 429) | ((code == 503) & holds(body, challenge))), ("missing", code.isin(404, 410)), ("server_error", code >= 500),
+    ]
+    return first_rule(rules, "reachable")
+
+
 def activated(rules: DataFrame, params: DataFrame) -> DataFrame:
     """Nodes with a group of rules all of which hold: and within a group, or between groups.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstone.functions import acts as A
 from quillstone.functions import designation as D
 from quillstone.operators import ordered as O
 from quillstone.operators import relational as R
@@ -213,3 +214,30 @@ def version_history(s, d) -> DataFrame:
 def g8_orphan_amendments(s, d):
     r = version_history(s, d)
     return S.orphan_amendments(r, R.version_groups(r, F.col("level") > 1)).select("id", "level")
+
+
+KEYED = "WITH k AS (SELECT p_partkey, 1970 + p_size AS y, p_partkey AS n, ['regulation', 'directive', 'decision'][p_partkey % 3 + 1] AS kind FROM part) "
+
+
+@query(KEYED + """SELECT p_partkey, CASE WHEN kind = 'regulation' THEN CASE WHEN y >= 2015 THEN concat('(EU) ', y, '/', n) ELSE concat('(', CASE WHEN y >= 2010 THEN 'EU' WHEN y >= 1993 THEN 'ES' ELSE 'EHS' END, ') č. ', n, '/', y) END
+ ELSE concat(y, '/', n, '/', CASE WHEN y >= 2010 THEN 'EU' WHEN y >= 1993 THEN 'ES' ELSE 'EHS' END) END AS designation, concat('3', y, ['R', 'L', 'D'][p_partkey % 3 + 1], CASE WHEN n < 10000 THEN lpad(cast(n AS varchar), 4, '0') ELSE cast(n AS varchar) END) AS celex FROM k""")
+def f27_keys_written(s, d):
+    kind = F.element_at(F.array(*map(F.lit, ("regulation", "directive", "decision"))), (F.col("p_partkey") % 3 + 1).cast("int"))
+    key = F.concat(F.lit("EU:"), (F.lit(1970) + F.col("p_size")).cast("string"), F.lit("/"), F.col("p_partkey").cast("string"))
+    return part(s, d).select("p_partkey", A.written(key, kind).alias("designation"), A.celex(key, kind).alias("celex"))
+
+
+@query(r"SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(trim(substr(text, 1, 60)), '^([-–—:]|\d+(-\d+)*\s*:)') OR (regexp_matches(trim(substr(text, 1, 60)), '^[a-záčďéěíňóřšťúůýž]') AND NOT regexp_matches(trim(substr(text, 1, 60)), '(?i)^(zákon|vyhlášk|nařízení|nariaden|smernic|směrnic|usnesení|sdělení|vykonávacie|opatrenie)')) THEN 'název vypadá jako useknutý fragment textu' END, CASE WHEN n_chars < 300 THEN 'chybí popis/anotace dokumentu' END], lambda x: x IS NOT NULL), '; ') AS reasons FROM documents")
+def f20_review_reasons(s, d):
+    return documents(s, d).select("doc_id", A.review_reasons(F.col("source"), F.substring("text", 1, 60), F.when(F.col("n_chars") >= 300, F.col("text"))).alias("reasons"))
+
+
+@query("SELECT event_id, concat(day(ts), '. ', month(ts), '. ', year(ts)) AS shown, greatest(strftime(ts, '%Y-%m-%d'), '2024-01-15') AS checked FROM events")
+def f42_dates_shown(s, d):
+    iso = F.date_format("ts", "yyyy-MM-dd")
+    return events(s, d).select("event_id", A.czech_date(iso).alias("shown"), A.later(F.lit("2024-01-15"), iso).alias("checked"))
+
+
+@query("SELECT doc_id, length(text) * 10 // 28 + 1 AS tokens FROM documents")
+def f48_token_estimates(s, d):
+    return documents(s, d).select("doc_id", A.token_estimate(F.col("text")).alias("tokens"))

@@ -29,9 +29,9 @@ def is_hand_verified(sources: Column, verified: Sequence[str]) -> Column:
     return (F.size(parts) > 0) & F.forall(parts, lambda x: x.isin(*verified))
 
 
-def similar_pairs(vectors: DataFrame, least: float, strict: bool = False, per_block: int = 2048) -> DataFrame:
+def similar_pairs(vectors: DataFrame, least: float, strict: bool = False, apart: bool = False, per_block: int = 2048) -> DataFrame:
     """a < b, similarity of rows (id long, veto string, vector) whose cosine is `least` or more (more, if strict) and whose
-    vetoes are not two different non-null ones. Packed blocks meet in pairs; rows with a null or zero vector take no part."""
+    vetoes are not two different non-null ones; with `apart`, only those with two different ones (null is one). Packed blocks meet in pairs; rows with a null or zero vector take no part."""
     blocks = max(1, -(-vectors.count() // per_block))
     rows = vectors.where("vector is not null").select("id", "veto", "vector", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"))
 
@@ -60,7 +60,8 @@ def similar_pairs(vectors: DataFrame, least: float, strict: bool = False, per_bl
                 p, q = np.nonzero(sim > least if strict else sim >= least)
                 c, c2 = codes(v, v2)
                 i, i2 = np.array(i), np.array(i2)
-                ok = ((c[p] == c2[q]) | (c[p] < 0) | (c2[q] < 0)) & ((i[p] < i2[q]) | (not same)) & (i[p] != i2[q])
+                fits = c[p] != c2[q] if apart else (c[p] == c2[q]) | (c[p] < 0) | (c2[q] < 0)
+                ok = fits & ((i[p] < i2[q]) | (not same)) & (i[p] != i2[q])
                 p, q = p[ok], q[ok]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[p], i2[q])), pa.array(np.maximum(i[p], i2[q])), pa.array(sim[p, q])], ["a", "b", "similarity"])
 

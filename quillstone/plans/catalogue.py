@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from quillstone.functions import designation as D
 from quillstone.operators import relational as R
+from quillstone.operators import resolution as S
 from quillstone.operators import text as T
 from quillstone.plans.fixtures import RECORDS, records, table
 
@@ -162,37 +162,8 @@ def q18_closure_summary(s, d):
 
 @query("WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings) SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.v, b.v), 6) AS similarity FROM e a JOIN e b ON a.vec_id < b.vec_id AND a.label <> b.label WHERE list_cosine_similarity(a.v, b.v) >= 0.45")
 def q19_grey_zone_pairs(s, d):
-    return similar_pairs(emb(s, d), 0.45, "label").select("a", "b", F.round("similarity", 6).alias("similarity"))
-
-
-def similar_pairs(vectors: DataFrame, least: float, veto: str, per_block: int = 2048) -> DataFrame:
-    """a, b, similarity of pairs with cosine `least` or more and different veto values: packed blocks meet in pairs."""
-    import numpy as np
-
-    blocks = max(1, -(-vectors.count() // per_block))
-    rows = vectors.where("embedding is not null").select("vec_id", veto, "embedding", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"))
-
-    def pack(t: pa.Table) -> pa.Table:
-        col = {n: pa.array([t.column(n).to_pylist()]) for n in ("vec_id", veto, "embedding")}
-        return pa.table({"block": t.column("block")[:1], "ids": col["vec_id"].cast(pa.list_(pa.int64())), "veto": col[veto].cast(pa.list_(pa.int64())), "flat": pa.array([[float(x) for v in col["embedding"][0].as_py() for x in v]])})
-
-    packed = rows.groupBy("block").applyInArrow(pack, "block int, ids array<long>, veto array<long>, flat array<double>")
-    left = packed.withColumn("other", F.explode(F.sequence("block", F.lit(blocks - 1))))
-    right = packed.select(F.col("block").alias("other"), F.col("ids").alias("ids2"), F.col("veto").alias("veto2"), F.col("flat").alias("flat2"))
-
-    def run(batches):
-        for b in batches:
-            for same, i, v, x, i2, v2, x2 in zip(*(b.column(k).to_pylist() for k in range(7)), strict=True):
-                m, m2 = np.array(x).reshape(len(i), -1), np.array(x2).reshape(len(i2), -1)
-                n, n2 = np.linalg.norm(m, axis=1), np.linalg.norm(m2, axis=1)
-                sim = m @ m2.T / np.maximum(np.outer(n, n2), 1e-300)
-                p, q = np.nonzero(sim >= least)
-                i, i2, v, v2 = np.array(i), np.array(i2), np.array([0 if t is None else t for t in v]), np.array([0 if t is None else t for t in v2])
-                ok = (v[p] != v2[q]) & ((i[p] < i2[q]) if same else (i[p] != i2[q]))
-                p, q = p[ok], q[ok]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(i[p], i2[q])), pa.array(np.maximum(i[p], i2[q])), pa.array(sim[p, q])], ["a", "b", "similarity"])
-
-    return left.join(right, "other").select((F.col("block") == F.col("other")).alias("same"), "ids", "veto", "flat", "ids2", "veto2", "flat2").mapInArrow(run, "a long, b long, similarity double")
+    v = emb(s, d).select(F.col("vec_id").alias("id"), F.col("label").cast("string").alias("veto"), F.col("embedding").alias("vector"))
+    return S.similar_pairs(v, 0.45, apart=True).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
 def _keyed(s, d):

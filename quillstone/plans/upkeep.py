@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from quillstone.operators import filters as P
 from quillstone.operators import ordered as O
 from quillstone.operators import relational as R
 from quillstone.plans.catalogue import conv, customer, documents, events, lineitem, nation, orders, pages, part, query, region, supplier
@@ -203,3 +204,75 @@ def q14_state_changes(s, d):
 def t14_page_parts(s, d):
     n = lambda p: F.size(F.regexp_extract_all("html", F.lit(p), F.lit(0))).cast("long")
     return pages(s, d).select("page_id", n(r"(?i)<a\s").alias("links"), n(r"(?i)<li[\s>]").alias("items"))
+
+
+FOUND = """(contains(lower(p_name), 'azure') OR contains(lower(p_type), 'azure') OR contains(lower(p_brand), 'azure') OR contains(lower(p_name), 'steel') OR contains(lower(p_type), 'steel') OR p_brand IN ('Brand#12'))"""
+
+
+@query(f"SELECT p_partkey AS id FROM part WHERE {FOUND} AND p_size % 3 = 1 AND (j IS NULL OR j NOT IN ('CZ', 'SK', 'EU', 'mezinárodní')) AND EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_suppkey % 5 = 2)".replace("FROM part", "FROM (SELECT *, CASE p_partkey % 4 WHEN 0 THEN 'CZ' WHEN 1 THEN 'DE' WHEN 2 THEN 'SK' END AS j FROM part) p"))
+def p2_catalogue_filter(s, d):
+    """Search with a synonym, type, other jurisdictions and a keyword, as one condition and a semi-join."""
+    j = F.when(F.col("p_partkey") % 4 == 0, "CZ").when(F.col("p_partkey") % 4 == 1, "DE").when(F.col("p_partkey") % 4 == 2, "SK")
+    docs = part(s, d).select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.col("p_type").alias("description"), F.col("p_brand").alias("designation"), (F.col("p_size") % 3).alias("type_id"), F.lit("").alias("subtype"), F.lit(1).alias("source_id"), j.alias("jurisdiction"))
+    words = lineitem(s, d).select(F.col("l_partkey").alias("document_id"), (F.col("l_suppkey") % 5).alias("keyword_id"))
+    chosen = P.Filter.parse({"q": "azure", "type_id": "1", "keyword_id": "2", "jurisdikce": "others"}, [P.Synonym(("azure",), ("steel",), ("Brand#12",))])
+    return chosen.apply(docs, words).select("id")
+
+
+TRIAGE = (
+    {"id": "known", "action": "reject", "when": {"known": True}},
+    {"id": "standard", "action": "propose", "when": {"event_type": ["purchase", "signup"], "props_regex": "[5-9]"}},
+    {"id": "noise", "action": "defer", "when": {"any": [{"event_type": ["error"]}, {"event_type": ["view"], "props_regex": "1"}]}},
+    {"id": "rest", "action": "model", "when": {}},
+)
+
+
+@query("SELECT event_id, rule, CASE rule WHEN 'known' THEN 'reject' WHEN 'standard' THEN 'propose' WHEN 'noise' THEN 'defer' ELSE 'model' END AS action FROM (SELECT event_id, CASE WHEN user_id % 10 = 0 THEN 'known' WHEN event_type IN ('purchase', 'signup') AND regexp_matches(props, '[5-9]') THEN 'standard' WHEN event_type = 'error' OR (event_type = 'view' AND regexp_matches(props, '1')) THEN 'noise' ELSE 'rest' END AS rule FROM events)")
+def r2_triage(s, d):
+    return P.decided(events(s, d), TRIAGE, {"known": F.col("user_id") % 10 == 0}).select("event_id", "rule", "action")
+
+
+@query("WITH c AS (SELECT o_orderkey AS id, o_custkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 'CS' ELSE 'EN' END AS l FROM orders), d AS (SELECT c_custkey AS document, c_custkey % 1000 AS k, CASE WHEN c_custkey % 3 = 0 THEN 'EN' ELSE 'CS' END AS l FROM customer) SELECT id, min(document) FILTER (c.l = d.l) AS document FROM c JOIN d USING (k) GROUP BY 1 HAVING count(*) FILTER (c.l = d.l) > 0")
+def r5_duplicates(s, d):
+    none = F.lit(None).cast("string")
+    c = orders(s, d).select(F.col("o_orderkey").alias("id"), F.array("o_custkey").alias("keys"), F.when(F.col("o_orderkey") % 2 == 1, "EN").alias("language"), none.alias("norm"))
+    k = customer(s, d).select(F.col("c_custkey").alias("document"), F.array(F.col("c_custkey") % 1000).alias("keys"), F.when(F.col("c_custkey") % 3 == 0, "EN").otherwise("").alias("language"), none.alias("norm"))
+    return P.duplicates(c, k)
+
+
+@query("SELECT p_partkey, array_to_string(list_filter([CASE WHEN p_partkey % 7 = 0 THEN 'title' END, CASE WHEN p_type NOT IN ('ECONOMY', 'MEDIUM', 'SMALL') THEN 'type' END, CASE WHEN p_size < 5 THEN 'areas' END], lambda x: x IS NOT NULL), ',') AS faults FROM part")
+def r8_proposal_faults(s, d):
+    p = part(s, d).select("p_partkey", F.when(F.col("p_partkey") % 7 != 0, F.col("p_name")).alias("title"), F.col("p_type").alias("document_type"), F.lit("CS").alias("language"), F.when(F.col("p_size") >= 5, F.array("p_size")).alias("areas"))
+    return p.select("p_partkey", F.array_join(P.proposal_faults(["ECONOMY", "MEDIUM", "SMALL"], ["CS"], F.lit(False)), ",").alias("faults"))
+
+
+@query("SELECT 'area' AS part, count(DISTINCT (o_orderkey, o_custkey % 4)) AS n FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'document', count(*) FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'relation', count(*) FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT 'version', count(*) FROM orders WHERE o_orderstatus = 'F'")
+def c10_accepted_candidates(s, d):
+    status = F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("new")
+    key = F.col("o_orderkey").cast("string")
+    c = orders(s, d).select(key.alias("key"), status.alias("status"), key.alias("designation"), F.col("o_orderpriority").alias("title"), F.lit("CS").alias("language"), F.lit("").alias("url"), F.array(F.col("o_custkey") % 4, F.col("o_custkey") % 4).alias("areas"), F.array(F.concat(F.lit("x"), key)).alias("repeals"))
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("part"), "n") for name, df in P.accepted_rows(c).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out
+
+
+@query("WITH r AS (SELECT event_id, user_id, ts, CASE WHEN event_type IN ('view', 'click') THEN 1 ELSE 0 END AS good FROM events) SELECT user_id AS source, max(ts) FILTER (good = 1) AS since, count(*) AS runs FROM r GROUP BY 1")
+def i1_high_water_marks(s, d):
+    good = F.col("event_type").isin("view", "click")
+    return events(s, d).groupBy(F.col("user_id").alias("source")).agg(F.max(F.when(good, F.col("ts"))).alias("since"), F.count(F.lit(1)).alias("runs"))
+
+
+@query("SELECT n_name AS scenario, r_name AS node, count(c_custkey) AS bases FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' GROUP BY 1, 2")
+def j34_pathways(s, d):
+    """Scenario, node and the number of documents that are its legal base, none included."""
+    base = customer(s, d).where("c_mktsegment = 'BUILDING'").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    out = nation(s, d).join(region(s, d), F.col("n_regionkey") == F.col("r_regionkey")).join(base, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    return out.select(F.col("n_name").alias("scenario"), F.col("r_name").alias("node"), F.coalesce("n", F.lit(0)).alias("bases"))
+
+
+@query("WITH e AS (SELECT DISTINCT least(l_suppkey, l_partkey % 100 + 1) AS a, greatest(l_suppkey, l_partkey % 100 + 1) AS b FROM lineitem WHERE l_suppkey <> l_partkey % 100 + 1) SELECT a, b FROM e")
+def j27_edges_either_way(s, d):
+    e = lineitem(s, d).select(F.col("l_suppkey").alias("x"), (F.col("l_partkey") % 100 + 1).alias("y")).where("x <> y")
+    return e.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()

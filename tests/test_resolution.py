@@ -91,3 +91,9 @@ def test_registry_answers_and_hand_verified(spark):
     assert [tuple(x) for x in S.ambiguous_groups(r, a).collect()] == [("1", 2, "ČSN EN ISO 1", "merged")]
     v = spark.createDataFrame([("A, B",), ("A",), ("",), (None,)], "s string").select(S.is_hand_verified(F.col("s"), ["A"]).alias("v"))
     assert [x["v"] for x in v.collect()] == [False, True, False, False]
+
+
+def test_amendments_outside_groups_are_orphans(spark):
+    r = spark.createDataFrame([(1, "en 1", "CZ", 1), (2, "en 1", None, 1), (3, "en 2", None, 2), (4, "en 3", "CZ", 0)], "id int, version_key string, jurisdiction string, level int")
+    g = spark.createDataFrame([("en 1", "CZ"), ("en 2", None)], "version_key string, jurisdiction string")
+    assert [x["id"] for x in S.orphan_amendments(r, g).collect()] == [2]

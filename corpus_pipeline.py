@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm import bpe, decontam, linededup, quality, simhash
+from quillstone.llm import bpe, decontam, linededup, nearcopies, quality
 from quillstone.llm.common import materialise
 
 
@@ -23,8 +23,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates; rows without an id stay if alone."""
-    groups = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_qs_doc")).distinct()
+    """The document with the smallest id of each group of near copies (5-word shingles, similarity 0.8); rows without an id stay if alone."""
+    groups = nearcopies.near_copies(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_qs_doc")).distinct()
     return docs.join(groups, docs["doc_id"].eqNullSafe(groups["_qs_doc"]), "left_semi")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from quillstone.llm import bpe, common, decontam, knn, langid, linededup, quality, sharding, simhash, substrings, tokenfiles
+from quillstone.llm import bpe, common, decontam, knn, langid, linededup, nearcopies, quality, sharding, simhash, substrings, tokenfiles
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, count int, key int, bucket int, uid string, size int, score double"
@@ -105,6 +105,33 @@ def test_simhash(docs, none, rows):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def test_near_copies(spark, docs, none, rows):
+    def shingles(t):
+        w = (t or "").encode().lower().split()
+        return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    r = random.Random(5)
+    base = [f"w{r.randrange(900)}" for _ in range(200)]
+    edited = [" ".join(f"x{k}" if i in r.sample(range(200), 3) else w for i, w in enumerate(base)) for k in range(40)]
+    apart = [" ".join(base[:100] + [f"y{k}-{i}" for i in range(60)]) for k in range(20)]
+    more = rows + [(100 + k, t) for k, t in enumerate([" ".join(base), *edited, *apart, " ".join(base[:170]), " ".join(base[:155])])]
+    sets, label = [shingles(t) for _, t in more], list(range(len(more)))
+    alike = [(a, b) for a in range(len(more)) for b in range(a) if len(sets[a] & sets[b]) * 10 >= 8 * len(sets[a] | sets[b])]
+    for _ in more:
+        for a, b in alike:
+            label[a] = label[b] = min(label[a], label[b])
+    least = {}
+    for k, (i, _) in enumerate(more):
+        if i is not None:
+            least[label[k]] = min(i, least.get(label[k], i))
+    wanted = sorted([(i, least.get(label[k])) for k, (i, _) in enumerate(more)], key=repr)
+    table = spark.createDataFrame(more, "doc_id long, text string")
+    assert collected(nearcopies.near_copies(table), "doc_id", "component_id") == wanted
+    kept = [r["doc_id"] for r in corpus_pipeline.keep_one(spark, table, SF).where("doc_id >= 100").collect()]
+    assert sorted(kept) == sorted({c for i, c in wanted if i is not None and i >= 100})
+    assert nearcopies.near_copies(none).count() == 0
+
+
 def test_hot_segments_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT", 4)
     fps = [(1 << i) | 7 << 40 for i in range(30)] + [0x1234 << 36 | i for i in range(16)]

@@ -214,9 +214,10 @@ def f52_json_and_keys(s, d):
 
 @query(REC + r"SELECT id, list_transform(regexp_extract_all(concat('podle ', designation, ' a 12/2020 Sb.'), '(\d{1,4})\s*/\s*(\d{4})\s*Sb\.'), lambda x: concat('CZ:', regexp_extract(x, '^\d+'), '/', regexp_extract(x, '/\s*(\d{4})', 1))) AS keys FROM records WHERE id % 9 <> 5 OR id < 10000".replace("SELECT id, list", "SELECT id, array_to_string(list").replace(" AS keys", ", ',') AS keys"))
 def t3_citation_keys(s, d):
+    """Of all records; the SQL leaves out numbers of five digits and more, of which its pattern would take the last four."""
     text = F.concat(F.lit("podle "), F.col("designation"), F.lit(" a 12/2020 Sb."))
-    some = records(s, d).where("id % 9 <> 5 OR id < 10000").withColumn("c", T.citations(text))
-    return some.select("id", F.array_join(F.transform(F.filter("c", lambda c: c["family"] == "CZ"), lambda c: c["key"]), ",").alias("keys"))
+    every = records(s, d).withColumn("c", T.citations(text))
+    return every.select("id", F.array_join(F.transform(F.filter("c", lambda c: c["family"] == "CZ"), lambda c: c["key"]), ",").alias("keys"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g')) AS text FROM pages".replace("\\\\", "\\"))

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import materialise
 
 MIN_SITES = 10
-MIN_CHARS = 25
+MIN_CHARS = 25  # of op2_cross_site_line_dedup and its SQL; the operator itself takes every line that is not blank
 REGISTERS = 64  # 4 bits each, 16 in a long; counts are told apart up to some hundreds, enough for thresholds below 64
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """One row for each long line of a document: doc, th (hash of the text), site, pos, key."""
+def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
+    """One row for each line of min_chars characters or more of a document: doc, th (hash of the text), site, pos, key."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     each = docs.select(
         docs[id_col].alias("doc"), F.xxhash64(text).alias("th"), F.coalesce(docs[site_col].cast("string"), F.lit("")).alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line")
     ).withColumn("line", _clean(F.col("line")))
-    return each.where(F.length("line") >= MIN_CHARS).select("doc", "th", "site", "pos", _key(F.col("line")).alias("key"))
+    return each.where(F.length("line") >= max(1, min_chars)).select("doc", "th", "site", "pos", _key(F.col("line")).alias("key"))
 
 
 def _clean(line: Column) -> Column:
@@ -66,15 +66,15 @@ def far_below(min_sites: int) -> int:
     return v
 
 
-def boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """key, first_doc of every line of MIN_CHARS characters or more on min_sites distinct sites or more.
+def boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+    """key, first_doc of every line of min_chars characters or more (blank ones never) on min_sites distinct sites or more.
 
     Lines whose registers in use reach the threshold are on that many sites for certain. Lines with a few registers less,
     down to far_below(), get exact distinct counts; below that band the chance of a wrong answer is under 1e-9 a line.
     """
     if not 2 <= min_sites < REGISTERS:
         raise ValueError(f"min_sites from 2 to {REGISTERS - 1}")
-    lines = _lines(docs, id_col, text_col, site_col)
+    lines = _lines(docs, id_col, text_col, site_col, min_chars)
     merged = materialise(sketches(lines).withColumn("used", occupied()).where(F.col("used") > far_below(min_sites)).select("key", "used", "first_doc"), "sketches")
     near = merged.where(F.col("used") < min_sites)
     pairs = lines.select("key", "site").join(near.select("key"), "key", "left_semi").distinct()
@@ -83,18 +83,18 @@ def boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, id_col: str = "d
     return materialise(sure.unionByName(near.join(exact, "key", "left_semi").select("key", "first_doc")), "boilerplate")
 
 
-def without_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def without_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """docs with boilerplate lines taken out of text_col, and _qs_lines, _qs_removed (counts of lines).
 
-    A line is split at newlines and compared without the spaces, tabs and carriage returns around it; lines shorter than
-    MIN_CHARS are never touched. The document with the smallest id that holds a boilerplate line keeps it, so nothing is
+    A line is split at newlines and compared without the spaces, tabs and carriage returns around it; blank lines and
+    those shorter than min_chars are never touched. The document with the smallest id that holds a boilerplate line keeps it, so nothing is
     lost altogether. Cases: null text stays null with no lines; a null site is one site; rows with equal ids keep or lose
     a line together, and a null id never keeps one; an empty table stays empty; a document all of whose lines go becomes
     an empty text. Other columns are kept.
     """
     text = docs[text_col].cast("string")
-    dropped = boilerplate(docs, min_sites=min_sites, id_col=id_col, text_col=text_col, site_col=site_col)
-    hits = _lines(docs, id_col, text_col, site_col).join(dropped, "key").where(~F.col("doc").eqNullSafe(F.col("first_doc")))
+    dropped = boilerplate(docs, min_sites=min_sites, min_chars=min_chars, id_col=id_col, text_col=text_col, site_col=site_col)
+    hits = _lines(docs, id_col, text_col, site_col, min_chars).join(dropped, "key").where(~F.col("doc").eqNullSafe(F.col("first_doc")))
     of_doc = hits.groupBy(F.col("doc").alias("_qs_doc"), F.col("th").alias("_qs_th")).agg(F.collect_list("pos").alias("_qs_gone"))
     same = docs[id_col].eqNullSafe(F.col("_qs_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_qs_th"))
     joined = docs.join(of_doc, same, "left").withColumn("_qs_split", F.split(text, "\n"))
@@ -124,7 +124,17 @@ FROM m GROUP BY doc_id
 """
 
 
-def op2_cross_site_line_dedup(spark, sf_dir: str) -> DataFrame:
+def _op2(spark, sf_dir: str, min_chars: int) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    out = without_boilerplate(docs)
+    out = without_boilerplate(docs, min_chars=min_chars)
     return out.select("doc_id", F.col("_qs_lines").alias("n_lines"), F.col("_qs_removed").alias("n_removed"), "text")
+
+
+def op2_cross_site_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """Lines of MIN_CHARS characters or more, as its SQL."""
+    return _op2(spark, sf_dir, MIN_CHARS)
+
+
+def op2_every_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every line that is not blank, by distinct sites alone, as in the pipeline."""
+    return _op2(spark, sf_dir, 1)

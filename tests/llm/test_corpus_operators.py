@@ -151,6 +151,18 @@ def test_line_dedup(docs, none, rows):
     assert linededup.without_boilerplate(none).count() == 0
 
 
+def test_short_lines(spark, tmp_path):
+    texts = [f"Own words of document {i}.\nAll rights reserved.\n \n\n- 1 -" for i in range(12)] + ["Own words.\nRare."] * 2
+    table = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r["doc_id"]: (r["n_removed"], r["text"]) for r in linededup.op2_every_line_dedup(spark, str(tmp_path)).collect()}
+    assert out == {i: (2, f"Own words of document {i}.\n \n") if 0 < i < 12 else (0, t) for i, t in enumerate(texts)}
+    cleaned = corpus_pipeline.drop_lines(spark, table, str(tmp_path))
+    assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {i: t for i, (_, t) in out.items()}
+    old = linededup.op2_cross_site_line_dedup(spark, str(tmp_path))
+    assert old.where("n_removed > 0").count() == 0
+
+
 def test_bpe(docs, none, rows):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}

@@ -21,6 +21,7 @@ SAMPLE = 8192  # documents from which frequent shingles are told; they only come
 FREQUENT = 4
 MOST = 200_000
 STEP = 1 << 21
+BITS = 1024  # of the parity sketch of a set
 ROWS = "key long, node long, size int, pos int"
 NONE = 2**63 - 1
 
@@ -43,6 +44,11 @@ def least_common(total: np.ndarray | int, similarity: float) -> np.ndarray:
     return np.ceil(similarity / (1 + similarity) * total - 1e-9)
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """BITS parities of the hashes that fall on each bit: two sketches differ in no more bits than their sets in hashes."""
+    return np.packbits(np.bincount((own >> np.uint64(17)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+
+
 def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Frequent shingles of a sample, sorted, and their counts."""
 
@@ -62,7 +68,7 @@ def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
-    """doc_id, node (hash of the set of shingles), fp (SimHash), size, prefix (first shingles in the common order), text."""
+    """doc_id, node (hash of the set of shingles), fp (SimHash), size, prefix (first shingles in the common order), sketch, text."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text"))
     frequent, counts = _frequent(rows.select("text"), shingle)
 
@@ -71,7 +77,7 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, simil
 
         for b in batches:
             data, off = utf8(b.column(1))
-            raw, out = data.tobytes(), ([], [], [], [])
+            raw, out = data.tobytes(), ([], [], [], [], [])
             for i in range(len(off) - 1):
                 h = hashes(raw[off[i] : off[i + 1]], shingle)
                 bits = np.zeros(64, np.int64)
@@ -88,12 +94,13 @@ def _signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int, simil
                 out[1].append(int.from_bytes(np.packbits(2 * bits > len(h)).tobytes(), "big"))
                 out[2].append(n)
                 out[3].append(first.view(np.int64))
+                out[4].append(sketch(own))
             long = lambda v: pa.array(np.array(v, np.uint64).view(np.int64))
             ends = np.cumsum([0, *map(len, out[3])]).astype(np.int32)
             prefix = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *out[3]])))
-            yield pa.RecordBatch.from_arrays([b.column(0), long(out[0]), long(out[1]), pa.array(out[2], pa.int32()), prefix, b.column(1)], ["doc_id", "node", "fp", "size", "prefix", "text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), long(out[0]), long(out[1]), pa.array(out[2], pa.int32()), prefix, pa.array(out[4], pa.binary()), b.column(1)], ["doc_id", "node", "fp", "size", "prefix", "sketch", "text"])
 
-    return rows.mapInArrow(run, "doc_id long, node long, fp long, size int, prefix array<long>, text string")
+    return rows.mapInArrow(run, "doc_id long, node long, fp long, size int, prefix array<long>, sketch binary, text string")
 
 
 def _table(batches) -> list[np.ndarray]:
@@ -193,7 +200,18 @@ def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float
                 ok[i] = common >= least_common(len(own) + len(other), similarity)
             yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(ok)) for k in (0, 1)], ["u", "v"])
 
-    pairs = materialise(pairs.where("u <> v").distinct(), "candidates")
+    def close(batches):
+        for b in batches:
+            n = [b.column(k).to_numpy() for k in (2, 3)]
+            a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, BITS // 8) for k in (4, 5))
+            total = n[0].astype(np.int64) + n[1]
+            ok = np.bitwise_count(a ^ c).sum(1, dtype=np.int64) <= total - 2 * least_common(total, similarity)
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(ok)) for k in (0, 1)], ["u", "v"])
+
+    pairs = pairs.where("u <> v").distinct()
+    known = rows.select("node", "size", "sketch").dropDuplicates(["node"])
+    drawn = pairs.join(known.toDF("u", "m", "a"), "u").join(known.toDF("v", "n", "b"), "v").select("u", "v", "m", "n", "a", "b")
+    pairs = materialise(drawn.mapInArrow(close, "u long, v long"), "candidates")
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
     texts = materialise(rows.select("node", "text").join(nodes, "node", "left_semi").dropDuplicates(["node"]), "texts")
     both = pairs.join(texts.toDF("u", "a"), "u").join(texts.toDF("v", "b"), "v").select("u", "v", F.coalesce("a", F.lit("")).alias("a"), F.coalesce("b", F.lit("")).alias("b"))

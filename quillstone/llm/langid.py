@@ -9,11 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillstone.llm.common import held_out, mix
 
 DOCS_PER_LANG = 400  # documents of a language to learn from, about; the bound of the sample
-MAX_LANGS = 64
+WIDE = 64  # languages beyond which fewer words are held at once
 BITS = 15
 ORDERS = 4  # grams of 1 to 3 characters, and whole words
 SMOOTHING = 0.5
@@ -36,9 +37,9 @@ SCRIPTS = (
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts of script ranges, script numbers, and which code points up to U+FFFF are letters."""
+    """Starts of script ranges, script numbers, and which code points are letters."""
     names = sorted({s for _, s in SCRIPTS})
-    letters = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(0x10000)), bool, 0x10000)
+    letters = np.fromiter((unicodedata.category(chr(i))[0] == "L" for i in range(0x110000)), bool, 0x110000)
     return np.array([c for c, _ in SCRIPTS]), np.array([names.index(s) for _, s in SCRIPTS]), letters
 
 
@@ -53,7 +54,7 @@ class Words:
         cp = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le"), np.uint32).astype(np.int64)
         space = cp == 32
         word = np.cumsum(space) - 1
-        letter = np.where(cp < 0x10000, self.letters[np.minimum(cp, 0xFFFF)], (cp >= 0x20000) & (cp < 0x32000))
+        letter = self.letters[cp]
         n = len(words)
         count = np.bincount(word[letter], minlength=n + 1)[:n]
         script = self.script[np.searchsorted(self.starts, cp, "right") - 1]
@@ -91,17 +92,17 @@ def split_words(text: str) -> list[str]:
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG) -> dict:
     """Model of the languages: log-probabilities of hashed grams, scripts in use. Learns from documents that are not held out.
 
-    The sample is bounded: of each of the MAX_LANGS most frequent languages about docs_per_lang documents, chosen by a
-    hash of the id, twice as many at most.
+    The sample is bounded: of each language about docs_per_lang documents, chosen by a hash of the id, twice as many at
+    most; the documents with its least hash are always among them, so no language is left out.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("text"), docs[lang_col].cast("string").alias("lang"))
     known = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
-    if not counts:
-        return {"langs": []}
-    share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, docs_per_lang / n)))])
     u = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = known.where(u < F.coalesce(share[F.col("lang")], F.lit(0.0))).select("lang", "text").limit(2 * docs_per_lang * len(counts))
+    known = known.select("lang", "text", u.alias("u"))
+    bounds = known.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(float(docs_per_lang)) / F.count(F.lit(1))).alias("share"), F.min("u").alias("least"))
+    near = known.join(F.broadcast(bounds), "lang").where((F.col("u") < F.col("share")) | (F.col("u") == F.col("least")))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("u", F.xxhash64("text")))
+    sample = near.withColumn("place", place).where(F.col("place") <= 2 * docs_per_lang).select("lang", "text")
 
     def learn(batches):
         seen: dict[str, Counter] = {}
@@ -123,6 +124,8 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
             yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([grams.astype("<f4").tobytes()]), pa.array([scripts.tobytes()])], ["lang", "grams", "scripts"])
 
     learned = sample.repartition(1).mapInArrow(learn, "lang string, grams binary, scripts binary").collect()
+    if not learned:
+        return {"langs": []}
     learned.sort(key=lambda r: r["lang"])
     grams = np.stack([np.frombuffer(r["grams"], "<f4").reshape(ORDERS, -1) for r in learned], 2).astype(float)
     log = np.log((grams + SMOOTHING) / (grams.sum(1, keepdims=True) + SMOOTHING * grams.shape[1]))
@@ -142,7 +145,7 @@ class Scorer:
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Score of each word in each language, and its letters."""
         known = self.known
-        if len(known) > CACHE:
+        if len(known) > CACHE * WIDE // max(WIDE, self.table.shape[1]):
             known.clear()
             self.table, self.letters = self.table[:0], self.letters[:0]
         new = [w for w in set(words) if w not in known]
@@ -235,7 +238,7 @@ def identify(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col:
             i = 0
             while i < len(texts):
                 words, off = [], [0]
-                while i < len(texts) and (len(words) < 100_000 or off == [0]):
+                while i < len(texts) and (len(words) < 100_000 * WIDE // max(WIDE, len(langs)) or off == [0]):
                     words += split_words(texts[i] or "") if langs else []
                     off.append(len(words))
                     i += 1

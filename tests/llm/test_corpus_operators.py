@@ -239,6 +239,18 @@ def test_language(spark, docs, none):
     assert langid.identify(none, langid.train(none)).count() == 0
 
 
+def test_many_languages_and_planes(spark):
+    r = random.Random(2)
+    word = lambda k: chr(97 + k % 26) * 2 + chr(97 + k // 26) + r.choice(["q", "zz", "vy"])
+    some = [(i, " ".join(word(i % 70) for _ in range(30)), f"l{i % 70:02}") for i in range(70 * 12)]
+    model = langid.train(spark.createDataFrame(some, "doc_id long, text string, lang string"), docs_per_lang=3)
+    assert model["langs"] == [f"l{k:02}" for k in range(70)]
+    one_id = [(1, f"w{i} same", "xx") for i in range(500)] + [(2 + i, "other words", "yy") for i in range(9)]
+    assert langid.train(spark.createDataFrame(one_id, "doc_id long, text string, lang string"), docs_per_lang=2)["langs"] == ["xx", "yy"]
+    high = spark.createDataFrame([(1, "\U0001e900\U0001e901 \U00010330"), (2, "\U0001f600")], "doc_id long, text string")
+    assert {x["doc_id"]: x["lang_pred"] == "und" for x in langid.identify(high, model).collect()} == {1: False, 2: True}
+
+
 def test_viterbi_shortcut():
     r = np.random.default_rng(0)
     score = r.normal(size=(300, 3)) * 4

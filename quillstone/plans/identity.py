@@ -118,15 +118,27 @@ def j22_shared_keys(s, d):
     return a.join(b, ["l_partkey", "l_suppkey"]).where("id <> other").select("id", "other").distinct()
 
 
-@query("WITH r AS (SELECT unnest(range(1, 400)) AS n) SELECT n AS ref, p_partkey AS target FROM r JOIN part ON p_partkey = n AND n % 3 = 0 UNION ALL SELECT n, p_partkey FROM r JOIN part ON p_partkey // 10 = n WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = n AND n % 3 = 0)")
-def j23_series_or_parts(s, d):
+def _series_or_parts(s, d, ref: DataFrame) -> DataFrame:
     """The number itself, else all parts of its series."""
-    ref, p = s.range(1, 400).select(F.col("id").alias("ref")), part(s, d)
+    p = part(s, d)
     exact = ref.where("ref % 3 = 0").join(p, F.col("ref") == F.col("p_partkey")).select("ref", F.col("p_partkey").alias("target"))
     rest = ref.join(exact.select("ref").distinct(), "ref", "left_anti")
     return exact.union(rest.join(p, F.expr("p_partkey div 10") == F.col("ref")).select("ref", "p_partkey"))
 
 
+@query("WITH r AS (SELECT unnest(range(1, 400)) AS n) SELECT n AS ref, p_partkey AS target FROM r JOIN part ON p_partkey = n AND n % 3 = 0 UNION ALL SELECT n, p_partkey FROM r JOIN part ON p_partkey // 10 = n WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = n AND n % 3 = 0)")
+def j23_series_or_parts(s, d):
+    """References 1 to 399, as its SQL."""
+    return _series_or_parts(s, d, s.range(1, 400).select(F.col("id").alias("ref")))
+
+
+@query()
+def j23_every_series_or_part(s, d):
+    """References to every part and every series of the table."""
+    p = part(s, d).where("p_partkey is not null")
+    return _series_or_parts(s, d, p.selectExpr("p_partkey as ref").union(p.selectExpr("p_partkey div 10")).distinct())
+
+
 @query("SELECT o_orderkey AS id, CASE WHEN a.c_custkey IS NOT NULL THEN 'consolidation' WHEN b.c_custkey IS NOT NULL THEN 'main' END AS field, coalesce(a.c_name, b.c_name) AS path FROM orders LEFT JOIN customer a ON a.c_custkey = o_custkey * 2 AND a.c_acctbal > 0 LEFT JOIN customer b ON b.c_custkey = o_custkey AND b.c_acctbal > 0")
 def j36_manifest_lookup(s, d):
     """The first of a record's addresses, consolidations first, that a stored file has."""

@@ -96,28 +96,56 @@ def j16_fan_out(s, d):
     return every.union(exact).select("ref", F.col("p_partkey").alias("target"))
 
 
-@query("WITH c AS (SELECT p_brand, count(*) AS n FROM part WHERE p_partkey % 40 = 0 GROUP BY 1), one AS (SELECT p_brand, p_partkey FROM part WHERE p_partkey % 40 = 0 AND p_brand IN (SELECT p_brand FROM c WHERE n = 1)) SELECT p.p_partkey AS id, one.p_partkey AS target, 'designation' AS way FROM part p JOIN one ON p.p_brand = one.p_brand UNION ALL SELECT p.p_partkey, t.p_partkey, 'title' FROM part p JOIN part t ON t.p_partkey % 40 = 0 AND (starts_with(t.p_name, p.p_name) OR starts_with(p.p_name, t.p_name)) WHERE p.p_brand NOT IN (SELECT p_brand FROM one)")
-def j19_prefix_fallback(s, d):
+def _prefix_fallback(p: DataFrame, t: DataFrame) -> DataFrame:
     """By a designation that is unique, else by titles one of which begins with the other."""
-    p = part(s, d).select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
-    t = p.where("id % 40 = 0").select(F.col("id").alias("target"), F.col("p_brand").alias("b"), F.col("p_name").alias("t"))
+    t = t.select(F.col("id").alias("target"), F.col("p_brand").alias("b"), F.col("p_name").alias("t"))
     one = t.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("target").alias("target")).where("n = 1")
     first = p.join(one, F.col("p_brand") == F.col("b")).select("id", "target", F.lit("designation").alias("way"))
-    rest = p.join(one, F.col("p_brand") == F.col("b"), "left_anti")
-    # titles that begin alike share their first word, or one is a part of it
-    head = lambda c: F.substring(c, 1, 1)
-    alike = rest.withColumn("h", head("p_name")).join(t.withColumn("h", head("t")), "h").where(F.startswith("t", "p_name") | F.startswith("p_name", "t"))
+    rest = p.join(one, F.col("p_brand") == F.col("b"), "left_anti").select("id", "p_name")
+
+    def begin(long: DataFrame, title: str, short: DataFrame, own: str) -> DataFrame:
+        """Pairs whose `title` begins with `own`: its beginnings of the lengths in use, joined as equal texts."""
+        lengths = F.broadcast(short.select(F.length(own).alias("n")).where("n is not null").distinct())
+        cut = long.join(lengths, F.col("n") <= F.length(title)).withColumn("h", F.expr(f"substring({title}, 1, n)"))
+        return cut.join(short.withColumn("h", F.col(own)), "h").select("id", "target")
+
+    alike = begin(t, "t", rest, "p_name").union(begin(rest, "p_name", t, "t")).distinct()
     return first.union(alike.select("id", "target", F.lit("title")))
 
 
-@query("SELECT DISTINCT a.l_orderkey AS id, b.o_orderkey AS other FROM lineitem a JOIN lineitem l ON a.l_partkey = l.l_partkey AND a.l_suppkey = l.l_suppkey JOIN orders b ON b.o_orderkey = l.l_orderkey WHERE a.l_orderkey <> b.o_orderkey AND a.l_orderkey % 10 = 0")
-def j22_shared_keys(s, d):
-    """Other acts that share a key with an act."""
-    a = lineitem(s, d).where("l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("id"), "l_partkey", "l_suppkey").distinct()
+def _titled(s, d) -> DataFrame:
+    return part(s, d).select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
+
+
+@query("WITH c AS (SELECT p_brand, count(*) AS n FROM part WHERE p_partkey % 40 = 0 GROUP BY 1), one AS (SELECT p_brand, p_partkey FROM part WHERE p_partkey % 40 = 0 AND p_brand IN (SELECT p_brand FROM c WHERE n = 1)) SELECT p.p_partkey AS id, one.p_partkey AS target, 'designation' AS way FROM part p JOIN one ON p.p_brand = one.p_brand UNION ALL SELECT p.p_partkey, t.p_partkey, 'title' FROM part p JOIN part t ON t.p_partkey % 40 = 0 AND (starts_with(t.p_name, p.p_name) OR starts_with(p.p_name, t.p_name)) WHERE p.p_brand NOT IN (SELECT p_brand FROM one)")
+def j19_prefix_fallback(s, d):
+    """One part in 40 as targets, as its SQL."""
+    return _prefix_fallback(_titled(s, d), _titled(s, d).where("id % 40 = 0"))
+
+
+@query()
+def j19_every_prefix_fallback(s, d):
+    return _prefix_fallback(_titled(s, d), _titled(s, d))
+
+
+def _shared_keys(s, d, a: DataFrame) -> DataFrame:
+    """Other acts that share a key with an act of a."""
+    a = a.select(F.col("l_orderkey").alias("id"), "l_partkey", "l_suppkey").distinct()
     b = lineitem(s, d).join(orders(s, d), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_orderkey").alias("other"), "l_partkey", "l_suppkey").distinct()
     return a.join(b, ["l_partkey", "l_suppkey"]).where("id <> other").select("id", "other").distinct()
 
 
+@query("SELECT DISTINCT a.l_orderkey AS id, b.o_orderkey AS other FROM lineitem a JOIN lineitem l ON a.l_partkey = l.l_partkey AND a.l_suppkey = l.l_suppkey JOIN orders b ON b.o_orderkey = l.l_orderkey WHERE a.l_orderkey <> b.o_orderkey AND a.l_orderkey % 10 = 0")
+def j22_shared_keys(s, d):
+    """Of one act in ten, as its SQL."""
+    return _shared_keys(s, d, lineitem(s, d).where("l_orderkey % 10 = 0"))
+
+
+@query()
+def j22_every_shared_key(s, d):
+    return _shared_keys(s, d, lineitem(s, d))
+
+
 def _series_or_parts(s, d, ref: DataFrame) -> DataFrame:
     """The number itself, else all parts of its series."""
     p = part(s, d)

@@ -1,4 +1,4 @@
-"""Cross-site boilerplate lines: HyperLogLog sketches of each line's sites, exact counts near the threshold."""
+"""Cross-site boilerplate lines: occupied registers of a sketch of each line's sites, exact counts near the threshold."""
 
 from __future__ import annotations
 

@@ -21,8 +21,10 @@ SAMPLE = 8192  # documents from which frequent shingles are told; they only come
 FREQUENT = 4
 MOST = 200_000
 STEP = 1 << 21
-BITS = 1024  # of the parity sketch of a set
-ROWS = "key long, node long, size int, pos int"
+LEAST_BITS, MOST_BITS = 1 << 10, 1 << 17  # of the parity sketch of a set; between them some four for each shingle
+MANY = 32  # nodes of a shingle from which its pairs are tested by their sketches where they meet
+PART = 2048  # nodes of such a shingle that one task compares with as many others
+ROWS = "kind int, key long, node long, size int, pos int, many int"
 NONE = 2**63 - 1
 
 
@@ -45,8 +47,24 @@ def least_common(total: np.ndarray | int, similarity: float) -> np.ndarray:
 
 
 def sketch(own: np.ndarray) -> bytes:
-    """BITS parities of the hashes that fall on each bit: two sketches differ in no more bits than their sets in hashes."""
-    return np.packbits(np.bincount((own >> np.uint64(17)).astype(np.int64) % BITS, minlength=BITS).astype(np.uint8) & 1).tobytes()
+    """Parities of the hashes that fall on each bit: two sketches differ in no more bits than their sets in hashes."""
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (4 * len(own)).bit_length()))
+    return np.packbits(np.bincount((own >> np.uint64(17)).astype(np.int64) % bits, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def folded(raw: bytes, size: int) -> np.ndarray:
+    """A sketch folded to `size` bytes, which keeps what it says: bits that fall together add up to their parity."""
+    out = np.frombuffer(raw, np.uint8)
+    while len(out) > size:
+        half = len(out) // 2
+        out = out[:half] ^ out[half:]
+    return out
+
+
+def may_be_similar(a: bytes, b: bytes, sizes: int, similarity: float) -> bool:
+    width = min(len(a), len(b))
+    apart = int(np.bitwise_count(folded(a, width) ^ folded(b, width)).sum(dtype=np.int64))
+    return apart <= sizes - 2 * least_common(sizes, similarity)
 
 
 def _frequent(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,52 +127,66 @@ def _table(batches) -> list[np.ndarray]:
     return [c.to_numpy() for c in pa.concat_tables(rows).columns] if rows else []
 
 
-def _shared(batches):
-    """Postings of shingles that two nodes or more have, each once."""
-    if not (t := _table(batches)):
-        return
-    order = np.lexsort((t[1], t[0]))
-    key, node, size, pos = (c[order] for c in t)
-    new = np.ones(len(key), bool)
-    new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-    key, node, size, pos = key[new], node[new], size[new], pos[new]
-    twin = key[1:] == key[:-1]
-    some = np.append(twin, False) | np.append(False, twin)
-    yield pa.RecordBatch.from_arrays([pa.array(c[some]) for c in (key, node, size, pos)], ["key", "node", "size", "pos"])
-
-
 def _possible(size, pos, a, b, similarity: float) -> np.ndarray:
     """Whether a and b can be similar if this shingle is their first common one; true for every similar pair there."""
     more = np.minimum(size[a] - pos[a], size[b] - pos[b])
     return more >= least_common(size[a].astype(np.int64) + size[b], similarity)
 
 
+def _unique(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], 1), axis=0)
+
+
+def _as_batch(both: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))], ["u", "v"])
+
+
 def _pairs(node, a, b) -> pa.RecordBatch:
-    both = np.unique(np.stack([np.minimum(node[a], node[b]), np.maximum(node[a], node[b])], 1), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["u", "v"])
+    return _as_batch(_unique(node[a], node[b]))
 
 
-def _stars(similarity: float):
-    """A few pairs of each shingle: with its least node, and neighbours in size."""
+def _shared(similarity: float):
+    """Postings of shingles that two nodes or more have, each once (kind 0), and a few pairs of each shingle: with its
+    least node, and neighbours in size (kind 1; key and node are the pair)."""
 
     def run(batches):
         if not (t := _table(batches)):
             return
-        for by in (1, 2):
-            order = np.lexsort((t[1], t[by], t[0]))
-            key, node, size, pos = (c[order] for c in t)
-            new = np.append(True, key[1:] != key[:-1])
-            first = np.flatnonzero(new)[np.cumsum(new) - 1] if by == 1 else np.arange(len(key)) - 1
+        order = np.lexsort((t[1], t[0]))
+        key, node, size, pos = (c[order] for c in t)
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
+        key, node, size, pos = key[new], node[new], size[new], pos[new]
+        start = np.append(True, key[1:] != key[:-1])
+        group = np.cumsum(start) - 1
+        many = np.bincount(group)[group]
+        some = many > 1
+        key, node, size, pos, many = key[some], node[some], size[some], pos[some], many[some]
+        zero = np.zeros(len(key), np.int32)
+        yield _rows(zero, key, node, size, pos, many)
+        for by in (node, size):
+            order = np.lexsort((node, by, key))
+            k = key[order]
+            new = np.append(True, k[1:] != k[:-1])[: len(k)]
+            first = np.flatnonzero(new)[np.cumsum(new) - 1] if by is node else np.arange(len(k)) - 1
             b = np.flatnonzero(~new)
-            a = first[b]
+            a, b = order[first[b]], order[b]
             ok = _possible(size, pos, a, b, similarity)
-            yield _pairs(node, a[ok], b[ok])
+            if ok.any():
+                pairs = _unique(node[a[ok]], node[b[ok]])
+                none = np.zeros(len(pairs), np.int32)
+                yield _rows(none + 1, pairs[:, 0], pairs[:, 1], none, none, none)
 
     return run
 
 
-def _cross(similarity: float):
-    """All pairs of a shingle whose components differ and whose similarity is possible."""
+def _rows(kind, key, node, size, pos, many) -> pa.RecordBatch:
+    small = (pa.array(x.astype(np.int32)) for x in (size, pos, many))
+    return pa.RecordBatch.from_arrays([pa.array(kind), pa.array(key), pa.array(node), *small], ["kind", "key", "node", "size", "pos", "many"])
+
+
+def _few(similarity: float):
+    """All pairs of a shingle of MANY nodes at most whose components differ and whose similarity is possible."""
 
     def run(batches):
         if not (t := _table(batches)):
@@ -182,6 +214,48 @@ def _cross(similarity: float):
     return run
 
 
+def _many(similarity: float):
+    """Pairs of a shingle of more nodes, from one or two of its parts: only those whose sketches allow it leave the task.
+
+    Rows come sorted by key, low and high part; columns: key, low, high, part, node, size, pos, component, sketch.
+    """
+
+    def pairs_of(rows: list) -> np.ndarray:
+        part, node, size, pos, comp = (np.array([r[k] for r in rows], np.int64) for k in range(5))
+        raw = [r[5] for r in rows]
+        width = min(map(len, raw))
+        bits = np.stack([folded(x, width) for x in raw]).view(np.uint64)
+        two = part.min() != part.max()
+        out = [np.zeros((0, 2), np.int64)]
+        for i in range(len(rows)):
+            b = np.flatnonzero(part > part[i]) if two else np.arange(i + 1, len(rows))
+            b = b[comp[b] != comp[i]]
+            b = b[_possible(size, pos, i, b, similarity)]
+            if not len(b):
+                continue
+            sizes = size[b] + size[i]
+            near = b[np.bitwise_count(bits[b] ^ bits[i]).sum(1, dtype=np.int64) <= sizes - 2 * least_common(sizes, similarity)]
+            near = [j for j in near.tolist() if may_be_similar(raw[i], raw[j], int(size[i] + size[j]), similarity)] if width < max(map(len, raw)) else near
+            if len(near):
+                out.append(_unique(np.full(len(near), node[i]), node[near]))
+        return np.concatenate(out)
+
+    def run(batches):
+        now, rows = None, []
+        for b in batches:
+            cols = [b.column(i).to_pylist() for i in range(9)]
+            for row in zip(*cols, strict=True):
+                if row[:3] != now:
+                    if len(rows) > 1:
+                        yield _as_batch(pairs_of(rows))
+                    now, rows = row[:3], []
+                rows.append(row[3:])
+        if len(rows) > 1:
+            yield _as_batch(pairs_of(rows))
+
+    return run
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """Pairs (u, v) whose sets of shingles are that similar."""
 
@@ -202,11 +276,10 @@ def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float
 
     def close(batches):
         for b in batches:
-            n = [b.column(k).to_numpy() for k in (2, 3)]
-            a, c = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(b.num_rows, BITS // 8) for k in (4, 5))
-            total = n[0].astype(np.int64) + n[1]
-            ok = np.bitwise_count(a ^ c).sum(1, dtype=np.int64) <= total - 2 * least_common(total, similarity)
-            yield pa.RecordBatch.from_arrays([b.column(k).filter(pa.array(ok)) for k in (0, 1)], ["u", "v"])
+            total = b.column(2).to_numpy().astype(np.int64) + b.column(3).to_numpy()
+            sketches = zip(b.column(4).to_pylist(), b.column(5).to_pylist(), total.tolist(), strict=True)
+            ok = pa.array([may_be_similar(x, y, n, similarity) for x, y, n in sketches], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(k).filter(ok) for k in (0, 1)], ["u", "v"])
 
     pairs = pairs.where("u <> v").distinct()
     known = rows.select("node", "size", "sketch").dropDuplicates(["node"])
@@ -223,7 +296,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts with one set of shingles form one class. SimHash links and a few pairs of each shingle are verified first, so
     that large groups are joined by few pairs; then all pairs of classes still apart that share one of the first
-    n - ceil(similarity n) + 1 shingles in a common order are verified. Similar sets always share one of these, so none
+    n - ceil(similarity n) + 1 shingles in a common order are verified, where more than MANY share it only those that
+    their parity sketches (an exact bound) allow. Similar sets always share one of these, so none
     is missed. component_id is the smallest id reachable over links. Cases: null, empty and blank texts are one class;
     repeated ids and rows are rows of their own; a null id is the smallest only if its component has no other; an empty
     table gives no rows.
@@ -235,14 +309,23 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     listed = rows.select("node", "size", F.posexplode("prefix").alias("pos", "key")).select("key", "node", "size", "pos")
     prefixes = rows.agg(F.sum(F.size("prefix"))).first()[0] or 0
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), prefixes // 1_000_000)
-    postings = materialise(listed.repartition(tasks, "key").mapInArrow(_shared, ROWS), "postings")
+    met = materialise(listed.repartition(tasks, "key").mapInArrow(_shared(similarity), ROWS), "postings")
+    postings = met.where("kind = 0").drop("kind")
     classes = materialise(rows.groupBy("node").agg(F.min("fp").alias("fp"), F.min(F.coalesce("doc_id", F.lit(NONE))).alias("least")), "classes")
 
-    few = postings.repartition(tasks, "key").mapInArrow(_stars(similarity), "u long, v long")
+    few = met.where("kind = 1").select(F.col("key").alias("u"), F.col("node").alias("v"))
     found = [_verified(links(classes).union(few), rows, shingle, similarity)]
     near = components(found[0])
-    apart = postings.join(near, "node", "left").select("key", "node", "size", "pos", F.coalesce("component", "node").alias("component"))
-    rest = apart.repartition(tasks, "key").mapInArrow(_cross(similarity), "u long, v long")
+    apart = postings.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    cold = apart.where(F.col("many") <= MANY).select("key", "node", "size", "pos", "component")
+    rest = cold.repartition(tasks, "key").mapInArrow(_few(similarity), "u long, v long")
+    sketches = rows.select("node", "sketch").dropDuplicates(["node"])
+    parts = F.ceil(F.col("many") / PART).cast("int")
+    hot = apart.where(F.col("many") > MANY).withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    hot = hot.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).join(sketches, "node")
+    hot = hot.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "size", "pos", "component", "sketch")
+    dealt = hot.repartition(tasks, "key", "low", "high").sortWithinPartitions("key", "low", "high")
+    rest = rest.union(dealt.mapInArrow(_many(similarity), "u long, v long"))
     found.append(_verified(rest, rows, shingle, similarity))
 
     named = components(reduce(DataFrame.union, found))

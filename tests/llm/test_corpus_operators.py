@@ -105,7 +105,10 @@ def test_simhash(docs, none, rows):
     assert simhash.near_duplicates(none).count() == 0
 
 
-def test_near_copies(spark, docs, none, rows):
+def test_near_copies(spark, docs, none, rows, monkeypatch):
+    monkeypatch.setattr(nearcopies, "MANY", 3)  # so that both ways of comparing are taken
+    monkeypatch.setattr(nearcopies, "PART", 8)
+
     def shingles(t):
         w = (t or "").encode().lower().split()
         return frozenset(b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
@@ -132,6 +135,17 @@ def test_near_copies(spark, docs, none, rows):
     assert nearcopies.near_copies(none).count() == 0
 
 
+def test_sketches_never_rule_out_similar_sets():
+    r = np.random.default_rng(1)
+    for n in (1, 3, 40, 700, 5000):
+        base = r.integers(0, 2**63, n, dtype=np.uint64)
+        for share in (0.0, 0.05, 0.1, 0.3):
+            other = np.unique(np.concatenate([base[int(share * n) :], r.integers(0, 2**63, int(share * n / 2), dtype=np.uint64)]))
+            own = np.unique(base)
+            similar = len(np.intersect1d(own, other)) * 10 >= 8 * len(np.union1d(own, other))
+            assert nearcopies.may_be_similar(nearcopies.sketch(own), nearcopies.sketch(other), len(own) + len(other), 0.8) or not similar
+
+
 def test_hot_segments_are_dealt(spark, monkeypatch):
     monkeypatch.setattr(simhash, "HOT", 4)
     fps = [(1 << i) | 7 << 40 for i in range(30)] + [0x1234 << 36 | i for i in range(16)]

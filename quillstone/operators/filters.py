@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from quillstone.operators import relational as R
 
 
+UNSORTED = "Nezařazeno"  # fixed value: the type of documents without one
+
+
 @dataclass(frozen=True)
 class Synonym:
     """Words that stand for more: an alias in a query adds search terms, and documents by designation."""
@@ -82,8 +85,10 @@ class Filter:
 
 
 def compiled(when: Mapping, facts: Mapping[str, Column] | None = None) -> Column:
-    """A condition given as data: all entries hold. `any` is a list of conditions one of which holds; `x_regex` a pattern,
-    case aside; facts (a name's own column) are compared with true or false; a list is a choice, other values are equal."""
+    """A condition given as data: all entries hold. `any` is a list of conditions one of which holds; `x_regex` a pattern
+    as it stands (it says itself whether case counts); `has_document_type` a type other than the one for unsorted
+    documents; facts (a name's own column) are compared with true or false; a list is a choice, other values are equal.
+    A candidate without a tier is of the first."""
 
     def one(name: str, wanted) -> Column:
         if name == "any":
@@ -91,8 +96,12 @@ def compiled(when: Mapping, facts: Mapping[str, Column] | None = None) -> Column
         if facts and name in facts:
             return F.coalesce(facts[name], F.lit(False)) == F.lit(bool(wanted))
         if name.endswith("_regex"):
-            return F.coalesce(F.col(name[: -len("_regex")]), F.lit("")).rlike(f"(?iuU){wanted}")
+            return F.coalesce(F.col(name[: -len("_regex")]), F.lit("")).rlike(f"(?U){wanted}")
+        if name == "has_document_type":
+            return (~F.coalesce(F.col("document_type"), F.lit("")).isin("", UNSORTED)) == F.lit(bool(wanted))
         values = wanted if isinstance(wanted, list | tuple) else [wanted]
+        if name == "tier":
+            return F.coalesce(F.col("tier"), F.lit(1)).isin(*values)
         some = [v for v in values if v is not None]
         hit = F.col(name).isin(*some) if some else F.lit(False)
         return F.coalesce(hit, F.lit(False)) | F.col(name).isNull() if None in values else F.coalesce(hit, F.lit(False))

@@ -90,27 +90,48 @@ def as_of(versions: DataFrame, key: str, date: str, asof: Column) -> DataFrame:
     return versions.groupBy(key).agg(F.max(F.when(d <= asof, d)).alias("current"), F.min(F.when(d > asof, d)).alias("upcoming"))
 
 
-def merge_records(records: DataFrame, cluster: str, scalars: Sequence[str], lists: Sequence[str]) -> DataFrame:
-    """One record for each cluster: longest title (ties: first), first non-blank scalars, ordered unions of lists."""
+def merge_records(records: DataFrame, cluster: str, scalars: Sequence[str], lists: Sequence[str], *, packed: Sequence[str] = (), designation: str | None = None, preferred: str = "čsn ") -> DataFrame:
+    """One record for each cluster: longest title (ties: first) with its own scalars, which the first non-blank ones of
+    others complete; ordered unions of lists, and of the parts of packed (comma-joined) texts; the first designation that
+    begins with `preferred`, else the first there is."""
     seq = F.col("seq")
-    title = F.max_by("title", F.struct(F.length("title"), -seq)).alias("title")
-    some = [F.min_by(c, F.when(F.trim(F.coalesce(c, F.lit(""))) != "", seq)).alias(c) for c in scalars]
-    ordered = [F.array_sort(F.collect_list(F.struct("seq", F.col(c).alias("v")))).alias(c) for c in lists]
-    out = records.groupBy(cluster).agg(title, *some, *ordered, F.count(F.lit(1)).alias("members"))
-    union = {c: F.array_distinct(F.flatten(F.transform(c, lambda x: x["v"]))) for c in lists}
-    return out.withColumns(union)
+    best = F.struct(F.length(F.coalesce("title", F.lit(""))), -seq)
+    filled = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+    some = [F.coalesce(F.max_by(F.when(filled(c), F.col(c)), best), F.min_by(c, F.when(filled(c), seq))).alias(c) for c in scalars]
+    parts = {c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ", "), lambda x: F.trim(x)), lambda x: x != "") for c in packed}
+    values = {c: F.coalesce(F.col(c), F.array().cast("array<string>")) for c in lists} | parts
+    ordered = [F.array_sort(F.collect_list(F.struct("seq", v.alias("v")))).alias(c) for c, v in values.items()]
+    named = []
+    if designation is not None:
+        d = F.trim(F.coalesce(F.col(designation), F.lit("")))
+        one = lambda ok: F.min_by(d, F.when(ok, seq))
+        named = [F.coalesce(one(F.lower(d).startswith(preferred)), one(d != ""), F.lit("")).alias(designation)]
+    out = records.groupBy(cluster).agg(F.max_by("title", best).alias("title"), *some, *ordered, *named, F.count(F.lit(1)).alias("members"))
+    union = {c: F.array_distinct(F.flatten(F.transform(c, lambda x: x["v"]))) for c in values}
+    return out.withColumns(union | {c: F.array_join(union[c], ", ") for c in packed})
 
 
 def cluster_kind(records: DataFrame, cluster: str) -> DataFrame:
-    """cluster, kind (none, deterministic, semantic), pure (all cores known and equal, one known jurisdiction at most)."""
+    """cluster, members, kind, pure of records with core, jurisdiction and url (an authoritative address; may be absent).
+
+    kind: none (one member), deterministic (members share a core or a url), semantic. pure: all cores known and equal, or
+    all urls, and one known jurisdiction at most.
+    """
+    url = F.coalesce(F.col("url"), F.lit("")) if "url" in records.columns else F.lit("")
     known = F.when(~F.coalesce("jurisdiction", F.lit("")).isin("", "neurčeno"), F.col("jurisdiction"))
-    per_core = records.groupBy(cluster, "core").agg(F.count(F.lit(1)).alias("n"), F.collect_set(known).alias("js"))
-    out = per_core.groupBy(cluster).agg(
-        F.sum("n").alias("members"), F.max(F.when(F.col("core") != "", F.col("n"))).alias("most"), F.count(F.lit(1)).alias("cores"),
-        F.bool_and(F.col("core") != "").alias("all_known"), F.size(F.array_distinct(F.flatten(F.collect_list("js")))).alias("js"),
+    rows = records.select(cluster, F.coalesce("core", F.lit("")).alias("core"), url.alias("url"), known.alias("known"))
+    # keys are counted apart, so that no set of a large cluster is held at once
+    keys = rows.select(cluster, F.explode(F.array(F.struct(F.lit("core").alias("what"), F.col("core").alias("key")), F.struct(F.lit("url").alias("what"), F.col("url").alias("key")))).alias("k"))
+    counted = keys.groupBy(cluster, "k").agg(F.count(F.lit(1)).alias("n")).groupBy(cluster).agg(
+        F.max(F.when(F.col("k.key") != "", F.col("n"))).alias("most"),
+        F.sum(F.when(F.col("k.what") == "core", F.col("n"))).alias("members"),
+        F.bool_or((F.col("k.what") == "core") & (F.col("k.key") == "")).alias("no_core"), F.count_if(F.col("k.what") == "core").alias("cores"),
+        F.bool_or((F.col("k.what") == "url") & (F.col("k.key") == "")).alias("no_url"), F.count_if(F.col("k.what") == "url").alias("urls"),
     )
+    places = rows.select(cluster, "known").distinct().groupBy(cluster).agg(F.count("known").alias("js"))
+    one = (~F.col("no_core") & (F.col("cores") == 1)) | (~F.col("no_url") & (F.col("urls") == 1))
     kind = F.when(F.col("members") == 1, "none").when(F.coalesce("most", F.lit(0)) > 1, "deterministic").otherwise("semantic")
-    return out.select(cluster, "members", kind.alias("kind"), (F.col("all_known") & (F.col("cores") == 1) & (F.col("js") <= 1)).alias("pure"))
+    return counted.join(places, cluster).select(cluster, "members", kind.alias("kind"), (one & (F.col("js") <= 1)).alias("pure"))
 
 
 def version_groups(records: DataFrame, evidence: Column) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 from html.parser import HTMLParser
 
@@ -11,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Patterns of the five families of citations, and years that can be meant
+# Patterns of the families of citations, words that tell kinds and amendments, years that can be meant
 YEARS = (1950, 2035)
 BODIES = "EU|ES|EC|EÚ|EHS|EEC|ESUO|ECSC|Euratom"
 CZ = r"(?<![\d/])(\d{1,4})\s*/\s*(\d{4})\s*Sb\.(\s*m\.\s*s\.)?"
@@ -19,99 +21,188 @@ SK = r"(?<![\d/])(\d{1,4})\s*/\s*(\d{4})\s*Z\.\s*z\."
 EU_BRACKET = rf"\((?:{BODIES})\)\s*(č\.|No\.?|n\.)?\s*(\d{{1,4}})\s*/\s*(\d{{1,4}})(?![\d/])"
 EU_SUFFIX = rf"(?<![\d/])(\d{{2,4}})/(\d{{1,4}})/(?:{BODIES})\b"
 NORM = r"\b(?:(?:ČSN|CSN|STN|DIN|BS|NF)\s+)?((?:EN|ISO|IEC)(?:\s*/\s*(?:ISO|IEC))?(?:\s+(?:ISO|IEC))?)\s+(\d{3,5}(?:-\d{1,3}){0,3})\b"
-INTRODUCES = r"(?i)(?:ve znění|ve zneni|v znení|as amended by|změněn[ýé]?|změna:|novel|zaveden[aoy]? zákonem)[^;§]{0,200}$"
-CITATION = "array<struct<key:string,family:string,display:string,position:int,amendment:boolean>>"
-
-
-def find_citations(text: str | None) -> list[dict]:
-    """Citations in the order of their places, with whether an amending phrase introduces them."""
-    text, out = text or "", []
-
-    def add(m: re.Match, family: str, key: str, display: str) -> None:
-        before = text[max(0, m.start() - 220) : m.start()]
-        out.append({"key": f"{family}:{key}", "family": family, "display": display, "position": m.start(), "amendment": bool(re.search(INTRODUCES, before))})
-
-    usable = lambda y: len(y) == 2 or (len(y) == 4 and YEARS[0] <= int(y) <= YEARS[1])
-    full = lambda y: int(y) + 1900 * (len(y) == 2)
-    for m in re.finditer(CZ, text):
-        pair = f"{int(m[1])}/{int(m[2])}"
-        add(m, "CZ-MS" if m[3] else "CZ", pair, pair + (" Sb. m. s." if m[3] else " Sb."))
-    for m in re.finditer(SK, text):
-        pair = f"{int(m[1])}/{int(m[2])}"
-        add(m, "SK", pair, f"{pair} Z. z.")
-    for m in re.finditer(EU_BRACKET, text, re.I):
-        year, number = (m[3], m[2]) if m[1] or not usable(m[2]) else (m[2], m[3])
-        if usable(year):
-            add(m, "EU", f"{full(year)}/{int(number)}", f"{full(year)}/{int(number)}")
-    for m in re.finditer(EU_SUFFIX, text, re.I):
-        if usable(m[1]):
-            add(m, "EU", f"{full(m[1])}/{int(m[2])}", f"{full(m[1])}/{int(m[2])}")
-    for m in re.finditer(NORM, text):
-        display = re.sub(r"\s+", " ", re.sub(r" ?/ ?", "/", m[1])) + f" {m[2]}"
-        add(m, "NORM", display, display)
-    return sorted(out, key=lambda c: c["position"])
+EU_KIND = r"(nařízení|nariadenie|nariadenia|regulation|směrnice|směrnic|smernice|smernica|directive|rozhodnutí|rozhodnutie|decision)"
+KINDS = {"nař": "regulation", "nari": "regulation", "regu": "regulation", "smě": "directive", "sme": "directive", "dire": "directive", "rozh": "decision", "deci": "decision"}
+INTRODUCES = r"(?:ve znění|ve zneni|v znení|as amended by|změněn[ýé]?|změna:|novel|zavedeno zákonem|zavedena zákonem|zavedeny zákonem)[^;§]{0,200}$"
+NUMBER = r"\d+\s*/\s*\d+(?:\s*Sb\.|\s*Z\.\s*z\.|/(?:ES|EU|EHS|EHK|ESUO|Euratom|EEC|ECSC|EC)\b)?"
+KIND_REACH, PHRASE_REACH, LIST_REACH, NUMBER_REACH = 120, 220, 45, 80
+BEFORE, AFTER, PLACES, TITLE_REACH = 300, 400, 3, 300
+
+_WORDS = "(?U)"  # blanks, letters and bounds of all scripts
+_ANY_CASE = "(?iuU)"
+
+
+def _whole(c: Column) -> Column:
+    return c.try_cast("int").cast("string")
+
+
+def _usable(year: Column) -> Column:
+    """Whether the digits can be a year: two of them, or four in the range."""
+    return (F.length(year) == 2) | ((F.length(year) == 4) & year.try_cast("int").between(*YEARS))
+
+
+def _act(number: Column, year: Column, suffix: str) -> Column:
+    return F.concat(_whole(number), F.lit("/"), _whole(year), F.lit(suffix))
+
+
+def _eu(year: Column, number: Column) -> Column:
+    full = year.try_cast("int") + F.when(F.length(year) == 2, 1900).otherwise(0)
+    return F.when(_usable(year), F.concat(full.cast("string"), F.lit("/"), _whole(number)))
+
+
+def _eu_bracket(label: Column, first: Column, second: Column) -> Column:
+    """Of a bare pair the year comes first if it can be one; behind a label it never does."""
+    leads = (label == "") & _usable(first)
+    return F.when(leads, _eu(first, second)).otherwise(_eu(second, first))
+
+
+def _norm(body: Column, number: Column) -> Column:
+    return F.concat_ws(" ", F.regexp_replace(F.regexp_replace(body, " ?/ ?", "/"), _WORDS + r"\s+", " "), number)
+
+
+@dataclass(frozen=True)
+class Family:
+    """How one family is cited: its pattern, what a match is called (null: it is none), and whether acts have a kind."""
+
+    name: str
+    pattern: str
+    groups: int
+    display: Callable[..., Column]
+    accepts: Callable[..., Column] | None = None
+    suffix: str = ""
+    kinds: bool = False
+
+
+FAMILIES = (
+    Family("CZ", _WORDS + CZ, 3, lambda n, y, s: _act(n, y, " Sb."), lambda n, y, s: s == "", " Sb."),
+    Family("CZ-MS", _WORDS + CZ, 3, lambda n, y, s: _act(n, y, " Sb. m. s."), lambda n, y, s: s != "", " Sb. m. s."),
+    Family("SK", _WORDS + SK, 2, lambda n, y: _act(n, y, " Z. z."), None, " Z. z."),
+    Family("EU", _ANY_CASE + EU_BRACKET, 3, _eu_bracket, kinds=True),
+    Family("EU", _ANY_CASE + EU_SUFFIX, 2, _eu, kinds=True),
+    Family("NORM", _WORDS + NORM, 2, _norm),
+)
+
+
+def _starts(gaps: Column, found: Column) -> Column:
+    """Place (from 0) of each match, as a running sum over the texts between matches and the matches."""
+    steps = F.slice(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own"))), F.lit(1), F.size(found))
+    grown = F.aggregate(
+        steps, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        lambda acc, x: F.struct((acc["at"] + x["gap"] + x["own"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"] + x["gap"])).alias("starts")),
+    )
+    return grown["starts"]
+
+
+def _behind(text: Column, at: Column, reach: int) -> Column:
+    """The last `reach` characters before a place."""
+    low = F.greatest(at - reach, F.lit(0))
+    return F.substr(text, low + 1, at - low)
+
+
+def _kind(text: Column, at: Column) -> Column:
+    words = F.regexp_extract_all(_behind(text, at, KIND_REACH), F.lit(_ANY_CASE + EU_KIND), F.lit(1))
+    last = F.lower(F.try_element_at(words, F.lit(-1)))
+    return F.coalesce(*[F.when(last.startswith(p), k) for p, k in KINDS.items()])
+
+
+def _of_family(text: Column, family: Family) -> Column:
+    p = F.lit(family.pattern)
+    found = F.regexp_extract_all(text, p, F.lit(0))
+    starts = _starts(F.split(text, family.pattern, -1), found)
+    groups = [F.regexp_extract_all(text, p, F.lit(i + 1)) for i in range(family.groups)]
+    rows = F.arrays_zip(starts.alias("at"), *[g.alias(f"g{i}") for i, g in enumerate(groups)])
+
+    def named(x: Column) -> Column:
+        parts = [x[f"g{i}"] for i in range(family.groups)]
+        display = family.display(*parts)
+        if family.accepts is not None:
+            display = F.when(family.accepts(*parts), display)
+        bare = F.substr(display, F.lit(1), F.length(display) - len(family.suffix)) if family.suffix else display
+        kind = _kind(text, x["at"]) if family.kinds else F.lit(None).cast("string")
+        amendment = _behind(text, x["at"], PHRASE_REACH).rlike(_ANY_CASE + INTRODUCES)
+        return F.struct(
+            x["at"].alias("position"), F.concat(F.lit(f"{family.name}:"), bare).alias("key"), F.lit(family.name).alias("family"),
+            display.alias("display"), kind.alias("kind"), amendment.alias("amendment"),
+        )
+
+    return F.filter(F.transform(rows, named), lambda c: c["key"].isNotNull())
 
 
 def citations(text: Column) -> Column:
-    """Citations of a text by a vectorised Python function: places and amending phrases need look-behind over the text."""
+    """position, key, family, display, kind, amendment of a text's citations in the order of their places; null has none.
 
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(find_citations)
+    amendment: a phrase that introduces amending acts stands before the citation, in the same clause.
+    """
+    t = F.coalesce(text, F.lit(""))
+    return F.array_sort(F.concat(*[_of_family(t, f) for f in FAMILIES]))
 
-    return F.pandas_udf(run, CITATION)(text)
 
+def listed_amendments(text: Column, cited: Column) -> Column:
+    """Whether each citation amends, by its own phrase or as the next of a list: close behind one that does, in one clause."""
+    start = F.struct(F.lit(None).cast("int").alias("at"), F.lit(False).alias("flag"), F.array().cast("array<boolean>").alias("flags"))
 
-def own_keys(designation: Column, title: Column) -> Column:
-    """Keys that a document goes by: those cited in its designation; a bare N/YYYY is a Czech act; without a designation
-    the first key of the title."""
-    none = F.coalesce(designation, F.lit("")) == ""
-    cited = F.array_distinct(F.transform(citations(F.coalesce(designation, F.lit(""))), lambda c: c["key"]))
-    p = r"(?<![\d/])0*(\d{1,4})/(\d{4})(?![\d/])"
-    bare = F.when(designation.rlike(p), F.array(F.concat(F.lit("CZ:"), F.regexp_extract(designation, p, 1), F.lit("/"), F.regexp_extract(designation, p, 2))))
-    first = F.slice(F.transform(citations(F.substring(F.coalesce(title, F.lit("")), 1, 300)), lambda c: c["key"]), 1, 1)
-    return F.when(none, first).when(F.size(cited) > 0, cited).otherwise(F.coalesce(bare, F.array().cast("array<string>")))
-
-
-def native_citations(text: Column, pattern: str, family: str, groups: tuple[int, int]) -> Column:
-    """Keys of one family by built-in functions alone, where place and amendment are not needed."""
-    a, b = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in groups)
-    return F.zip_with(a, b, lambda x, y: F.concat(F.lit(f"{family}:"), x.cast("int").cast("string"), F.lit("/"), y))
-
-
-def context(text: str, position: int, before: int = 300, after: int = 400) -> dict:
-    """What stands before and after a citation, cut at words, and the citation as the text writes it; blanks squeezed."""
-    squeezed = lambda s: re.sub(r"\s+", " ", s)
-    low, high = max(0, position - before), min(len(text), position + after)
-    if low:
-        gap = re.compile(r"\s").search(text, low, position)
-        low = gap.end() if gap else position
-    if high < len(text):
-        gap = text.rfind(" ", position, high)
-        high = gap if gap > position else high
-    number = re.compile(NUMBER).search(text, position, position + 80)
-    end = number.end() if number else position
-    return {"before": squeezed(text[low:position]).lstrip(), "cited": squeezed(text[position:end]), "after": squeezed(text[end:high]).rstrip()}
-
-
-# Fixed value: the written form of a cited number
-NUMBER = r"\d+\s*/\s*\d+(?:\s*Sb\.|\s*Z\.\s*z\.|/(?:ES|EU|EHS|EHK|ESUO|Euratom|EEC|ECSC|EC)\b)?"
+    def step(acc: Column, c: Column) -> Column:
+        near = acc["flag"] & (c["position"] - acc["at"] < LIST_REACH)
+        apart = F.substr(F.coalesce(text, F.lit("")), acc["at"] + 1, c["position"] - acc["at"]).rlike("[;§]")
+        flag = c["amendment"] | F.coalesce(near & ~apart, F.lit(False))
+        return F.struct(c["position"].alias("at"), flag.alias("flag"), F.concat(acc["flags"], F.array(flag)).alias("flags"))
 
+    return F.aggregate(cited, start, step)["flags"]
 
-def contexts(text: Column, most: int = 3) -> Column:
-    """key, place and context of the first `most` citations of each key in a text."""
 
-    def run(texts: pd.Series) -> pd.Series:
-        def places(t):
-            count, out = {}, []
-            for c in find_citations(t):
-                count[c["key"]] = count.get(c["key"], 0) + 1
-                if count[c["key"]] <= most:
-                    out.append({"key": c["key"], "place": count[c["key"]], **context(t, c["position"])})
-            return out
+def keys_of(cited: Column) -> Column:
+    return F.array_distinct(F.transform(cited, lambda c: c["key"]))
 
-        return texts.map(places)
 
-    return F.pandas_udf(run, "array<struct<key:string,place:int,before:string,cited:string,after:string>>")(text)
+def own_keys(designation: Column, title: Column) -> Column:
+    """Keys that a document goes by. Its designation says them in full, or as a bare pair, which is a Czech act; without a
+    designation it is the first act that its title names."""
+    named = F.coalesce(designation, F.lit(""))
+    pair = r"(?<![\d/])0*(\d{1,4})/(\d{4})(?![\d/])"
+    act = F.concat(F.lit("CZ:"), F.regexp_extract(named, pair, 1), F.lit("/"), F.regexp_extract(named, pair, 2))
+    by_title = F.slice(keys_of(citations(F.left(title, F.lit(TITLE_REACH)))), 1, 1)
+    by_name = keys_of(citations(named))
+    return F.when(named == "", by_title).when((F.size(by_name) == 0) & named.rlike(pair), F.array(act)).otherwise(by_name)
+
+
+def citing_unit(keys: Column, doc: Column) -> Column:
+    """What cites: a document and its language variants share their least key; one without keys is a unit of its own."""
+    return F.coalesce(F.array_min(keys), F.concat(F.lit("doc:"), doc.cast("string")))
+
+
+def context(text: Column, at: Column) -> Column:
+    """before, cited, after of a place: whole words around the number that the text writes there, blanks squeezed."""
+    squeezed = lambda c: F.regexp_replace(c, _WORDS + r"\s+", " ")
+    left, right = _behind(text, at, BEFORE), F.substr(text, at + 1, F.lit(AFTER))
+    whole_left = F.when(at <= BEFORE, left).otherwise(F.when(left.rlike(_WORDS + r"\s"), F.regexp_replace(left, _WORDS + r"(?s)^\S*\s", "")).otherwise(""))
+    ends_here = at + AFTER >= F.length(text)
+    whole_right = F.when(ends_here, right).otherwise(F.regexp_replace(right, r"(?s)^(.+) [^ ]*$", "$1"))
+    cited = F.regexp_extract(F.left(right, F.lit(NUMBER_REACH)), rf"{_WORDS}(?s)^.*?{NUMBER}", 0)
+    return F.struct(
+        F.ltrim(squeezed(whole_left)).alias("before"), squeezed(cited).alias("cited"),
+        F.rtrim(squeezed(F.substr(whole_right, F.length(cited) + 1))).alias("after"),
+    )
+
+
+def contexts(text: Column, most: int = PLACES) -> Column:
+    """key, place, amendment and context of the first `most` citations of each key, by key and place."""
+    t = F.coalesce(text, F.lit(""))
+    by_key = F.array_sort(F.transform(citations(t), lambda c: F.struct(c["key"].alias("key"), c["position"].alias("position"), c["amendment"].alias("amendment"))))
+
+    def placed(cited: Column) -> Column:
+        same = lambda c, i, back: F.coalesce(F.get(cited, i - back)["key"] == c["key"], F.lit(False))
+        place = lambda c, i: sum((F.when(same(c, i, b), 1).otherwise(0) for b in range(1, most + 1)), F.lit(1))
+        rows = F.transform(cited, lambda c, i: F.struct(c["key"].alias("key"), place(c, i).alias("place"), c["amendment"].alias("amendment"), c["position"].alias("position")))
+        first = F.filter(rows, lambda c: c["place"] <= most)
+        around = lambda c: context(t, c["position"])
+        return F.transform(first, lambda c: F.struct(c["key"], c["place"], c["amendment"], *[around(c)[k].alias(k) for k in ("before", "cited", "after")]))
+
+    return placed(by_key)
+
+
+def hint(text: Column, at: Column) -> Column:
+    c = context(text, at)
+    return F.concat(c["before"], c["cited"], c["after"])
 
 
 # Elements of pages that end a line, that hold no text, and that are headings

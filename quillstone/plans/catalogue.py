@@ -212,12 +212,16 @@ def f52_json_and_keys(s, d):
     return events(s, d).select("event_id", F.from_json("props", "k int")["k"].alias("k"), D.fallback_key(F.lit(""), F.col("props")).alias("key"))
 
 
-@query(REC + r"SELECT id, list_transform(regexp_extract_all(concat('podle ', designation, ' a 12/2020 Sb.'), '(\d{1,4})\s*/\s*(\d{4})\s*Sb\.'), lambda x: concat('CZ:', regexp_extract(x, '^\d+'), '/', regexp_extract(x, '/\s*(\d{4})', 1))) AS keys FROM records WHERE id % 9 <> 5 OR id < 10000".replace("SELECT id, list", "SELECT id, array_to_string(list").replace(" AS keys", ", ',') AS keys"))
+CITED = "concat('podle ', designation, ', směrnice 2014/', 10 + id % 80, '/EU a zákona č. ', 1 + id % 900, '/2020 Sb., nariadenie 7/2011 Z. z. a EN ', 1000 + id % 50)"
+
+
+@query(REC + rf"""SELECT id, concat_ws(',', CASE WHEN id % 9 = 2 THEN concat('NORM:', regexp_extract(designation, 'EN ISO \d+-\d')) WHEN id % 9 = 3 THEN concat('NORM:', designation) WHEN id % 9 IN (0, 1) THEN concat('NORM:EN ', regexp_extract(designation, '\d+'))
+  WHEN id % 9 = 8 THEN concat('NORM:EN IEC ', regexp_extract(designation, '60079-\d+')) WHEN id % 9 = 4 AND id < 10000 THEN concat('EU:', regexp_extract(designation, '20\d+'), '/', id) WHEN id % 9 = 5 AND id < 10000 THEN concat('CZ:', regexp_extract(designation, '\d+/\d+')) END,
+  concat('EU:2014/', 10 + id % 80, ':directive'), concat('CZ:', 1 + id % 900, '/2020'), 'SK:7/2011', concat('NORM:EN ', 1000 + id % 50)) AS keys FROM records""")
 def t3_citation_keys(s, d):
-    """Of all records; the SQL leaves out numbers of five digits and more, of which its pattern would take the last four."""
-    text = F.concat(F.lit("podle "), F.col("designation"), F.lit(" a 12/2020 Sb."))
-    every = records(s, d).withColumn("c", T.citations(text))
-    return every.select("id", F.array_join(F.transform(F.filter("c", lambda c: c["family"] == "CZ"), lambda c: c["key"]), ",").alias("keys"))
+    """Keys of all families with their kinds, in the order of their places; of every record."""
+    c = T.citations(F.expr(CITED))
+    return records(s, d).select("id", F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["key"], x["kind"])), ",").alias("keys"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, trim(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)\\b.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \\t\\r\\n]+', ' ', 'g')) AS text FROM pages".replace("\\\\", "\\"))
@@ -262,15 +266,30 @@ def j24_as_of(s, d):
     return R.as_of(orders(s, d), "o_custkey", "o_orderdate", F.lit("1995-06-01").cast("timestamp"))
 
 
-@query("SELECT p_size AS cluster, arg_max(p_name, length(p_name) * 100000000 - p_partkey) AS title, arg_min(p_brand, p_partkey) FILTER (p_brand <> 'Brand#11') AS issuer, count(*) AS members FROM part GROUP BY 1")
+@query("""WITH r AS (SELECT p_size AS cluster, p_name AS title, p_partkey AS seq, CASE WHEN p_brand = 'Brand#11' THEN ' ' ELSE p_brand END AS issuer, concat(p_type, ', ', p_brand) AS sources,
+  CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 5 = 0 THEN concat('ČSN ', p_partkey) ELSE concat('EN ', p_partkey) END AS designation FROM part),
+ s AS (SELECT cluster, unnest(string_split(sources, ', ')) AS v, seq FROM r), u AS (SELECT cluster, v, min(seq) AS seq FROM s GROUP BY 1, 2)
+ SELECT cluster, arg_max(title, length(title) * 100000000 - seq) AS title, coalesce(nullif(trim(arg_max(issuer, length(title) * 100000000 - seq)), ''), arg_min(issuer, seq) FILTER (trim(issuer) <> '')) AS issuer,
+  (SELECT string_agg(v, '|' ORDER BY v) FROM u WHERE u.cluster = r.cluster) AS sources, (SELECT string_agg(DISTINCT substr(title, 1, 5), '|' ORDER BY substr(title, 1, 5)) FROM r x WHERE x.cluster = r.cluster) AS words,
+  coalesce(arg_min(designation, seq) FILTER (designation LIKE 'ČSN%'), arg_min(designation, seq) FILTER (designation <> ''), '') AS designation, count(*) AS members FROM r GROUP BY cluster""")
 def a11_record_merge(s, d):
-    r = part(s, d).select(F.col("p_size").alias("cluster"), F.col("p_name").alias("title"), F.when(F.col("p_brand") == "Brand#11", " ").otherwise(F.col("p_brand")).alias("issuer"), F.array("p_type").alias("types"), F.col("p_partkey").alias("seq"))
-    return R.merge_records(r, "cluster", ["issuer"], ["types"]).select("cluster", "title", "issuer", "members")
-
-
-@query(REC + f", r AS (SELECT id % 50 AS cluster, {NORM} AS core, CASE WHEN coalesce(jurisdiction, '') IN ('', 'neurčeno') THEN NULL ELSE jurisdiction END AS j FROM records), c AS (SELECT cluster, core, count(*) AS n FROM r GROUP BY 1, 2), g AS (SELECT cluster, count(*) AS members, count(DISTINCT core) AS cores, count(DISTINCT j) AS js FROM r GROUP BY 1) SELECT cluster, members, CASE WHEN members = 1 THEN 'none' WHEN (SELECT max(n) FROM c WHERE c.cluster = g.cluster) > 1 THEN 'deterministic' ELSE 'semantic' END AS kind, cores = 1 AND js <= 1 AS pure FROM g")
+    k = F.col("p_partkey")
+    named = F.when(k % 7 == 0, "").when(k % 5 == 0, F.concat(F.lit("ČSN "), k.cast("string"))).otherwise(F.concat(F.lit("EN "), k.cast("string")))
+    r = part(s, d).select(
+        F.col("p_size").alias("cluster"), F.col("p_name").alias("title"), F.when(F.col("p_brand") == "Brand#11", " ").otherwise(F.col("p_brand")).alias("issuer"),
+        F.concat("p_type", F.lit(", "), "p_brand").alias("sources"), F.array(F.substring("p_name", 1, 5)).alias("words"), named.alias("designation"), k.alias("seq"),
+    )
+    out = R.merge_records(r, "cluster", ["issuer"], ["words"], packed=["sources"], designation="designation")
+    listed = lambda c: F.array_join(F.array_sort(c), "|")
+    return out.select("cluster", "title", "issuer", listed(F.split("sources", ", ")).alias("sources"), listed("words").alias("words"), "designation", "members")
+
+
+@query(REC + f"""SELECT cluster, members, CASE WHEN members = 1 THEN 'none' WHEN most > 1 OR most_urls > 1 THEN 'deterministic' ELSE 'semantic' END AS kind, (cores = 1 OR (urls = 1 AND all_urls)) AND js <= 1 AS pure FROM (
+ SELECT cluster, count(*) AS members, count(DISTINCT core) AS cores, count(DISTINCT j) AS js, max(n) AS most, max(CASE WHEN url <> '' THEN m END) AS most_urls, count(DISTINCT url) AS urls, bool_and(url <> '') AS all_urls FROM (
+  SELECT *, count(*) OVER (PARTITION BY cluster, core) AS n, count(*) OVER (PARTITION BY cluster, url) AS m FROM (SELECT id % 300 AS cluster, {NORM} AS core, CASE WHEN id % 3 = 0 THEN '' ELSE concat('u', id % 7) END AS url, CASE WHEN coalesce(jurisdiction, '') IN ('', 'neurčeno') THEN NULL ELSE jurisdiction END AS j FROM records)) GROUP BY 1)""")
 def a14_cluster_kind(s, d):
-    r = records(s, d).select((F.col("id") % 50).alias("cluster"), D.normalise(F.col("designation")).alias("core"), "jurisdiction")
+    url = F.when(F.col("id") % 3 == 0, "").otherwise(F.concat(F.lit("u"), (F.col("id") % 7).cast("string")))
+    r = records(s, d).select((F.col("id") % 300).alias("cluster"), D.normalise(F.col("designation")).alias("core"), url.alias("url"), "jurisdiction")
     return R.cluster_kind(r, "cluster")
 
 

@@ -27,13 +27,21 @@ def test_filters_narrow_and_agree(spark):
 
 def test_rules_are_compiled(spark):
     c = spark.createDataFrame([(1, "norm", "Vodík a", 1), (2, "law", "x", 2), (3, None, None, None), (4, "norm", "y", 2)], "id int, kind string, title string, tier int")
-    rules = [{"id": "a", "action": "propose", "when": {"kind": ["norm"], "title_regex": "^VODÍK"}}, {"id": "b", "action": "reject", "when": {"any": [{"tier": 2, "kind": ["law"]}, {"known": True}]}}, {"id": "z", "action": "model", "when": {}}]
+    rules = [{"id": "a", "action": "propose", "when": {"kind": ["norm"], "title_regex": "(?iu)^VODÍK"}}, {"id": "b", "action": "reject", "when": {"any": [{"tier": 2, "kind": ["law"]}, {"known": True}]}}, {"id": "z", "action": "model", "when": {}}]
     got = {r["id"]: (r["rule"], r["action"]) for r in P.decided(c, rules, {"known": F.col("id") == 4}).collect()}
     assert got == {1: ("a", "propose"), 2: ("b", "reject"), 3: ("z", "model"), 4: ("b", "reject")}
     with pytest.raises(ValueError):
         P.decided(c, rules[:1])
 
 
+def test_patterns_and_defaults_of_rules(spark):
+    c = spark.createDataFrame([(1, "ABC", "Zákon", None), (2, "abc", "Nezařazeno", 1), (3, None, None, 2), (4, "xabc", "", 2)], "id int, t string, document_type string, tier int")
+    ids = lambda when: [r["id"] for r in c.where(P.compiled(when)).orderBy("id").collect()]
+    assert ids({"t_regex": "abc"}) == [2, 4] and ids({"t_regex": "(?i)^abc"}) == [1, 2]
+    assert ids({"has_document_type": True}) == [1] and ids({"has_document_type": False}) == [2, 3, 4]
+    assert ids({"tier": [1]}) == [1, 2] and ids({"tier": 2}) == [3, 4]
+
+
 def test_model_answers_act_by_threshold(spark):
     rows = [("reject", "funds", 0.9, False), ("accept", "funds", 0.9, False), ("accept", "in_scope", 0.8, False), ("accept", "in_scope", 0.6, False), ("defer", "general", 0.9, True), ("defer", "general", 0.9, None)]
     df = spark.createDataFrame(rows, "r string, c string, p double, h boolean")

@@ -48,15 +48,43 @@ def test_cores_and_dates(spark):
         ("ČSN EN ISO 19880-1 a IEC 60079-10-1 a ČSN EN 17124", ["NORM:EN ISO 19880-1", "NORM:IEC 60079-10-1", "NORM:EN 17124"]),
     ],
 )
-def test_citations(text, keys):
-    assert [c["key"] for c in T.find_citations(text)] == keys
+def test_citations(spark, text, keys):
+    assert [c["key"] for c in one(spark, T.citations, text)] == keys
+
+
+def test_kinds_places_and_amendments(spark):
+    text = "Podle směrnice 2014/68/EU a nařízení (ES) č. 1907/2006, ve znění zákona č. 1/2000 Sb., zákona č. 2/2001 Sb.; zákona č. 3/2001 Sb., zaveden zákonem č. 4/2002 Sb."
+    found = one(spark, T.citations, text)
+    assert [(c["key"], c["kind"], c["amendment"]) for c in found] == [
+        ("EU:2014/68", "directive", False), ("EU:2006/1907", "regulation", False), ("CZ:1/2000", None, True), ("CZ:2/2001", None, True), ("CZ:3/2001", None, False), ("CZ:4/2002", None, False)]
+    assert all(text[c["position"] :].startswith(c["display"].split(" ")[0]) or c["family"] == "EU" for c in found)
+    long = "ve znění " + ", ".join(f"zákona č. {i}/2001 Sb." for i in range(1, 30))
+    flags = spark.createDataFrame([(long,)], "t string").select(T.listed_amendments(F.col("t"), T.citations(F.col("t"))).alias("f")).first()["f"]
+    assert flags == [True] * 29 and not all(c["amendment"] for c in one(spark, T.citations, long))
+
+
+def test_contexts(spark):
+    text = "a" * 10 + " " + "slovo " * 80 + "podle 12/2020  Sb. " + "dále " * 120
+    (c,) = one(spark, T.contexts, text)
+    assert c["cited"] == "12/2020 Sb." and c["before"].startswith("slovo ") and c["before"].endswith("podle ") and c["after"].endswith("dále")
+    assert 290 <= len(c["before"]) <= 300 and 370 <= len(c["after"]) <= 400
+    many = one(spark, T.contexts, "1/2000 Sb. " * 5 + "2/2000 Sb.")
+    assert [(c["key"], c["place"]) for c in many] == [("CZ:1/2000", 1), ("CZ:1/2000", 2), ("CZ:1/2000", 3), ("CZ:2/2000", 1)]
+    assert one(spark, T.contexts, None) == [] and one(spark, T.contexts, "") == []
 
 
 def test_own_keys(spark):
-    rows = [("2014/68/EU [EN]", ""), ("Nařízení vlády 133/2005", ""), (None, "Vodíková strategie")]
+    rows = [("2014/68/EU [EN]", ""), ("Nařízení vlády 133/2005", ""), (None, "Vodíková strategie"), ("", "Zákon č. 1/2000 Sb. a 2/2000 Sb."), ("bez čísla", "Zákon č. 1/2000 Sb.")]
     out = spark.createDataFrame(rows, "d string, t string").select(T.own_keys(F.col("d"), F.col("t")).alias("k")).collect()
-    assert [r["k"] for r in out] == [["EU:2014/68"], ["CZ:133/2005"], []]
-    assert T.find_citations("ve znění zákona č. 1/2000 Sb.")[0]["amendment"]
+    assert [r["k"] for r in out] == [["EU:2014/68"], ["CZ:133/2005"], [], ["CZ:1/2000"], []]
+
+
+def test_merged_records_and_kinds(spark):
+    r = spark.createDataFrame([(1, 1, "ab", None, "S1, S2", "EN 5"), (1, 2, "abc", "x", "S2,  S3", "ČSN EN 5"), (1, 3, "abd", None, None, "")], "c int, seq int, title string, issuer string, src string, d string")
+    m = R.merge_records(r, "c", ["issuer"], [], packed=["src"], designation="d").first()
+    assert (m["title"], m["issuer"], m["src"], m["d"], m["members"]) == ("abc", "x", "S1, S2, S3", "ČSN EN 5", 3)
+    k = spark.createDataFrame([(1, "", "u", "CZ"), (1, "", "u", None), (2, "a", "", "CZ"), (2, "b", "", "CZ"), (3, "a", "", "CZ"), (4, "a", "", "CZ"), (4, "a", "", "SK")], "c int, core string, url string, jurisdiction string")
+    assert {x["c"]: (x["kind"], x["pure"]) for x in R.cluster_kind(k, "c").collect()} == {1: ("deterministic", True), 2: ("semantic", False), 3: ("none", True), 4: ("deterministic", False)}
 
 
 def test_pinned_slugs_and_versions(spark):

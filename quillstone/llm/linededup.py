@@ -1,89 +1,57 @@
-"""Cross-site boilerplate lines: occupied registers of a sketch of each line's sites, exact counts near the threshold."""
+"""Cross-site boilerplate lines: HyperLogLog sketches of each line's sites, exact counts near the threshold."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import materialise
 
 MIN_SITES = 10
-MIN_CHARS = 25  # of op2_cross_site_line_dedup and its SQL; the operator itself takes every line that is not blank
-REGISTERS = 64  # 4 bits each, 16 in a long; counts are told apart up to some hundreds, enough for thresholds below 64
+PRECISION = 12  # 2 ** PRECISION registers of a sketch at most; sketches of few sites are short lists
+ERRORS = 6.0  # relative standard errors of the sketch on either side of the threshold that are counted exactly
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str, site_col: str, min_chars: int) -> DataFrame:
-    """One row for each line of min_chars characters or more of a document: doc, th (hash of the text), site, pos, key."""
+    """One row for each line of min_chars characters or more of a document: doc, th (hash of the text), site, pos, key, check.
+
+    key and check are hashes of the line by two functions; lines are told apart by both.
+    """
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     each = docs.select(
         docs[id_col].alias("doc"), F.xxhash64(text).alias("th"), F.coalesce(docs[site_col].cast("string"), F.lit("")).alias("site"), F.posexplode(F.split(text, "\n")).alias("pos", "line")
-    ).withColumn("line", _clean(F.col("line")))
-    return each.where(F.length("line") >= max(1, min_chars)).select("doc", "th", "site", "pos", _key(F.col("line")).alias("key"))
+    ).withColumn("line", F.trim(F.col("line"), F.lit(" \t\r")))
+    return each.where(F.length("line") >= max(1, min_chars)).select("doc", "th", "site", "pos", F.xxhash64("line").alias("key"), F.hash("line").alias("check"))
 
 
-def _clean(line: Column) -> Column:
-    return F.trim(line, F.lit(" \t\r"))
+def sketches(lines: DataFrame, precision: int = PRECISION) -> DataFrame:
+    """key, check, sketch (HyperLogLog of the line's sites), first_doc (smallest id with the line); merged by aggregation."""
+    return lines.groupBy("key", "check").agg(F.hll_sketch_agg("site", precision).alias("sketch"), F.min("doc").alias("first_doc"))
 
 
-def _key(line: Column) -> Column:
-    return F.xxhash64(line)
+def band(min_sites: int, precision: int = PRECISION) -> tuple[float, float]:
+    """Estimates between which a line is near the threshold: ERRORS standard errors of the sketch, one site at least."""
+    share = ERRORS * 1.04 / 2 ** (precision / 2)
+    return min(min_sites - 1.0, min_sites * (1 - share)), max(min_sites + 1.0, min_sites * (1 + share))
 
 
-def sketches(lines: DataFrame) -> DataFrame:
-    """key, h0..h3 (64 registers of the sites' HyperLogLog sketch), first_doc (smallest id with the line).
+def boilerplate(lines: DataFrame, *, min_sites: int = MIN_SITES, precision: int = PRECISION) -> DataFrame:
+    """key, check, first_doc of every line of _lines() on min_sites distinct sites or more.
 
-    A register is a bit set of the ranks seen, so that sketches merge by a bitwise or, an ordinary pre-aggregated sum.
+    The estimate of its sketch tells whether a line is far below the threshold, far above it or near; lines near it get
+    exact distinct counts. An estimate is that far off with a chance below 1e-8 a line.
     """
-    h = F.xxhash64("site")
-    register = h.bitwiseAND(F.lit(REGISTERS - 1))
-    rank = F.least(F.lit(3), F.lit(63 - 6) - F.floor(F.log2(F.shiftrightunsigned(h, 6).bitwiseOR(F.lit(1)).cast("double"))).cast("int"))
-    rank = F.greatest(rank, F.lit(0))
-    bit = F.expr("shiftleft(1L, cast((reg % 16) * 4 + rank as int))")
-    rows = lines.select("key", "doc", register.alias("reg"), rank.alias("rank")).select("key", "doc", "reg", bit.alias("bit"))
-    word = lambda i: F.expr(f"bit_or(if(reg div 16 = {i}, bit, 0L))").alias(f"h{i}")
-    return rows.groupBy("key").agg(*[word(i) for i in range(4)], F.min("doc").alias("first_doc"))
-
-
-def estimate() -> Column:
-    """Sites by linear counting over the empty registers; registers in use never exceed the sites."""
-    used = occupied()
-    return F.when(used >= REGISTERS, F.lit(float("inf"))).otherwise(-F.lit(float(REGISTERS)) * F.log((F.lit(REGISTERS) - used) / F.lit(float(REGISTERS))))
-
-
-def occupied() -> Column:
-    """Registers in use: a lower bound of the number of sites."""
-    fold = lambda c: F.expr(f"bit_count(({c} | shiftrightunsigned({c}, 1) | shiftrightunsigned({c}, 2) | shiftrightunsigned({c}, 3)) & 1229782938247303441L)")
-    return sum((fold(f"h{i}") for i in range(1, 4)), fold("h0"))
-
-
-def far_below(min_sites: int) -> int:
-    """Most registers in use at which `min_sites` sites have a chance below 1e-9; such lines need no exact count."""
-    from math import comb
-
-    v = 0
-    while v + 1 < min_sites and comb(REGISTERS, v + 1) * ((v + 1) / REGISTERS) ** min_sites < 1e-9:
-        v += 1
-    return v
+    low, high = band(min_sites, precision)
+    merged = sketches(lines, precision).select("key", "check", "first_doc", F.hll_sketch_estimate("sketch").alias("sites"))
+    merged = materialise(merged.where(F.col("sites") >= low), "sketches")
+    near = merged.where(F.col("sites") < high)
+    pairs = lines.join(near.select("key", "check"), ["key", "check"], "left_semi").select("key", "check", "site").distinct()
+    exact = pairs.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_sites)
+    sure = merged.where(F.col("sites") >= high).select("key", "check", "first_doc")
+    return materialise(sure.unionByName(near.join(exact, ["key", "check"], "left_semi").select("key", "check", "first_doc")), "boilerplate")
 
 
-def boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
-    """key, first_doc of every line of min_chars characters or more (blank ones never) on min_sites distinct sites or more.
-
-    Lines whose registers in use reach the threshold are on that many sites for certain. Lines with a few registers less,
-    down to far_below(), get exact distinct counts; below that band the chance of a wrong answer is under 1e-9 a line.
-    """
-    if not 2 <= min_sites < REGISTERS:
-        raise ValueError(f"min_sites from 2 to {REGISTERS - 1}")
-    lines = _lines(docs, id_col, text_col, site_col, min_chars)
-    merged = materialise(sketches(lines).withColumn("used", occupied()).where(F.col("used") > far_below(min_sites)).select("key", "used", "first_doc"), "sketches")
-    near = merged.where(F.col("used") < min_sites)
-    pairs = lines.select("key", "site").join(near.select("key"), "key", "left_semi").distinct()
-    exact = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("sites")).where(F.col("sites") >= min_sites)
-    sure = merged.where(F.col("used") >= min_sites).select("key", "first_doc")
-    return materialise(sure.unionByName(near.join(exact, "key", "left_semi").select("key", "first_doc")), "boilerplate")
-
-
-def without_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
+def without_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_chars: int = 1, precision: int = PRECISION, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source") -> DataFrame:
     """docs with boilerplate lines taken out of text_col, and _qs_lines, _qs_removed (counts of lines).
 
     A line is split at newlines and compared without the spaces, tabs and carriage returns around it; blank lines and
@@ -93,8 +61,11 @@ def without_boilerplate(docs: DataFrame, *, min_sites: int = MIN_SITES, min_char
     an empty text. Other columns are kept.
     """
     text = docs[text_col].cast("string")
-    dropped = boilerplate(docs, min_sites=min_sites, min_chars=min_chars, id_col=id_col, text_col=text_col, site_col=site_col)
-    hits = _lines(docs, id_col, text_col, site_col, min_chars).join(dropped, "key").where(~F.col("doc").eqNullSafe(F.col("first_doc")))
+    if min_sites < 2:
+        raise ValueError("min_sites of 2 or more")
+    every = materialise(_lines(docs, id_col, text_col, site_col, min_chars), "lines")
+    dropped = boilerplate(every, min_sites=min_sites, precision=precision)
+    hits = every.join(dropped, ["key", "check"]).where(~F.col("doc").eqNullSafe(F.col("first_doc")))
     of_doc = hits.groupBy(F.col("doc").alias("_qs_doc"), F.col("th").alias("_qs_th")).agg(F.collect_list("pos").alias("_qs_gone"))
     same = docs[id_col].eqNullSafe(F.col("_qs_doc")) & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_qs_th"))
     joined = docs.join(of_doc, same, "left").withColumn("_qs_split", F.split(text, "\n"))
@@ -115,7 +86,7 @@ WITH l AS (
   FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 ),
 b AS (
-  SELECT t, min(doc_id) AS first_doc FROM l WHERE length(t) >= {MIN_CHARS} GROUP BY t HAVING count(DISTINCT site) >= {MIN_SITES}
+  SELECT t, min(doc_id) AS first_doc FROM l WHERE length(t) >= 1 GROUP BY t HAVING count(DISTINCT site) >= {MIN_SITES}
 ),
 m AS (SELECT l.*, coalesce(l.doc_id <> b.first_doc, false) AS gone FROM l LEFT JOIN b ON l.t = b.t)
 SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_removed,
@@ -124,17 +95,8 @@ FROM m GROUP BY doc_id
 """
 
 
-def _op2(spark, sf_dir: str, min_chars: int) -> DataFrame:
+def op2_cross_site_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_removed, text of every document, by every line that is not blank; cases as without_boilerplate()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    out = without_boilerplate(docs, min_chars=min_chars)
+    out = without_boilerplate(docs)
     return out.select("doc_id", F.col("_qs_lines").alias("n_lines"), F.col("_qs_removed").alias("n_removed"), "text")
-
-
-def op2_cross_site_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """Lines of MIN_CHARS characters or more, as its SQL."""
-    return _op2(spark, sf_dir, MIN_CHARS)
-
-
-def op2_every_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """Every line that is not blank, by distinct sites alone, as in the pipeline."""
-    return _op2(spark, sf_dir, 1)

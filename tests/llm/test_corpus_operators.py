@@ -169,12 +169,35 @@ def test_short_lines(spark, tmp_path):
     texts = [f"Own words of document {i}.\nAll rights reserved.\n \n\n- 1 -" for i in range(12)] + ["Own words.\nRare."] * 2
     table = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id long, text string, source string")
     table.write.parquet(f"{tmp_path}/documents.parquet")
-    out = {r["doc_id"]: (r["n_removed"], r["text"]) for r in linededup.op2_every_line_dedup(spark, str(tmp_path)).collect()}
+    out = {r["doc_id"]: (r["n_removed"], r["text"]) for r in linededup.op2_cross_site_line_dedup(spark, str(tmp_path)).collect()}
     assert out == {i: (2, f"Own words of document {i}.\n \n") if 0 < i < 12 else (0, t) for i, t in enumerate(texts)}
     cleaned = corpus_pipeline.drop_lines(spark, table, str(tmp_path))
     assert {r["doc_id"]: r["text"] for r in cleaned.collect()} == {i: t for i, (_, t) in out.items()}
-    old = linededup.op2_cross_site_line_dedup(spark, str(tmp_path))
-    assert old.where("n_removed > 0").count() == 0
+
+
+@pytest.mark.parametrize("least, precision", [(2, 12), (12, 4), (90, 12), (90, 4), (300, 5)])
+def test_thresholds_near_and_above(spark, least, precision):
+    """Lines on least - 1, least and least + 1 sites, some often on one site, with a null id, clashing and empty columns."""
+    spread = {"below": least - 1, "at": least, "above": least + 1, "far above": 4 * least}
+    rows = [(k, f"line {name}\r\nline {name}", f"s{i}", "x") for name, n in spread.items() for k, i in enumerate(range(n))]
+    rows += [(7, "line below", "s0", "x")] * 50 + [(None, "line at", None, "y"), (9, None, "s1", "z"), (10, "", None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string, key string")
+    sites = {}
+    for _, text, site, _ in rows:
+        for line in (text or "").split("\n"):
+            sites.setdefault(line.strip(), set()).add(site or "")
+    first = {}
+    for i, text, _, _ in rows:
+        for line in (text or "").split("\n"):
+            if i is not None:
+                first[line.strip()] = min(i, first.get(line.strip(), i))
+    wanted = []
+    for i, text, _, key in rows:
+        gone = [bool(x.strip()) and len(sites[x.strip()]) >= least and first[x.strip()] != i for x in (text or "").split("\n")]
+        kept = None if text is None else "\n".join(x for x, g in zip(text.split("\n"), gone, strict=True) if not g)
+        wanted.append((i, kept, key, sum(gone)))
+    out = linededup.without_boilerplate(table, min_sites=least, precision=precision)
+    assert collected(out, "doc_id", "text", "key", "_qs_removed") == sorted(wanted, key=repr)
 
 
 def test_bpe(docs, none, rows):

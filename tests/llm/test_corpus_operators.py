@@ -237,22 +237,53 @@ def test_token_files(docs, none, rows, monkeypatch, most):
     assert tokenfiles.read(tokenfiles.write(none, text)).count() == 0
 
 
-def test_top_k(spark, monkeypatch):
-    monkeypatch.setattr(knn, "SHARD_ROWS", 40)
+@pytest.mark.parametrize("rows_a_shard, spread", [(40, 1.0), (1000, 1.0), (25, 1e-9), (30, 1e9)])
+def test_top_k(spark, monkeypatch, rows_a_shard, spread):
+    """Several shards, one, equal vectors only, and components whose sums exceed 64 bits."""
+    monkeypatch.setattr(knn, "LEAST_ROWS", rows_a_shard)
+    monkeypatch.setattr(knn, "MOST_ROWS", rows_a_shard)
     monkeypatch.setattr(knn, "LEAF", 4)
     monkeypatch.setattr(knn, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(knn, "SLICE", 1)
     r = random.Random(1)
-    rows = [(i, [round(r.gauss(0, 1), 1) for _ in range(4)]) for i in range(150)] + [(200, None), (201, [None, 1.0, 1.0, 1.0]), (202, [float("nan")] * 4), (203, [1.0]), (204, [])]
-    v = {i: [int(np.floor(64 * np.float64(np.float32(x)))) for x in e] + [0] * (4 - len(e)) for i, e in rows if e is not None and all(x is not None and x == x for x in e)}
+    rows = [(i, [round(r.gauss(0, 1), 1) * (spread if i % 3 or spread < 1 else 1.0) for _ in range(4)]) for i in range(150)]
+    rows += [(i, [0.5, -0.5, 0.25, 0.125]) for i in range(300, 330)] + [(20, [1.0, 0.0, 0.0, 0.0])]
+    rows += [(200, None), (201, [None, 1.0, 1.0, 1.0]), (202, [float("nan")] * 4), (203, [1.0]), (204, []), (None, [1.0] * 4), (206, [float("inf")] * 4)]
+    v = [(i, [int(np.floor(64 * np.float64(np.float32(x)))) for x in e] + [0] * (4 - len(e))) for i, e in rows if i is not None and e is not None and all(x is not None and np.isfinite(x) for x in e)]
+    most = 2**63 - 1
     wanted = []
-    for q in (i for i in v if i % 20 == 0):
-        best = sorted((-sum(a * b for a, b in zip(v[q], v[c], strict=True)), c) for c in v if c != q)[:5]
-        wanted += [(q, k + 1, c, -s) for k, (s, c) in enumerate(best)]
+    for q, own in v:
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(own, other, strict=True)), c) for c, other in v if c != q)[:5]
+            wanted += [(q, k + 1, c, max(-most - 1, min(most, -s))) for k, (s, c) in enumerate(best)]
     df = spark.createDataFrame([(i, e, 1, 2) for i, e in rows], "vec_id long, embedding array<float>, shard int, block int")
-    assert collected(knn.top_k(df, k=5), "query_id", "rank", "vec_id", "score") == sorted(wanted, key=repr)
+    got = collected(knn.top_k(df, k=5), "query_id", "rank", "vec_id", "score")
+    if spread > 1:  # beyond 64 bits ids are those of equal shown scores
+        assert sorted((a, b, d) for a, b, _, d in got) == sorted((a, b, d) for a, b, _, d in wanted)
+    else:
+        assert got == sorted(wanted, key=repr)
     assert knn.top_k(df.limit(0)).count() == 0
 
 
+def test_descent_cuts_subtrees():
+    r = np.random.default_rng(0)
+    centres = r.normal(size=(40, 8)) * 300
+    v = np.floor(centres[r.integers(0, 40, 8000)] + r.normal(size=(8000, 8)))
+    tree = knn.build(np.arange(8000), v, 64)
+    seen = []
+    real = knn.scores
+    knn.scores = lambda q, w, size: seen.append(len(q) * len(w)) or real(q, w, size)
+    try:
+        found = knn.search(tree, np.arange(5), v[:5], 3, np.full(5, -np.inf))
+    finally:
+        knn.scores = real
+    assert sum(seen) < 5 * 8000 / 4
+    for i in range(5):
+        s = v @ v[i]
+        top = sorted((-x, j) for j, x in enumerate(s) if j != i)[:3]
+        assert sorted((-x, int(j)) for q, j, x in zip(*found, strict=True) if q == i) == top
+
+
 def test_tiling(spark, docs, none):
     a, b, c = "one two three four five six", "seven eight nine ten eleven twelve", "red green blue cyan pink grey"
     items = spark.createDataFrame([(1, f"{a} {b} {c}", 0), (2, None, 0), (3, "...", 0), (4, "lone word", 0)], "item_id long, text string, doc_id int")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections import defaultdict
 from functools import reduce
 
@@ -16,7 +17,7 @@ MATCH = 5  # tokens of the shortest tile
 COVERAGE = 0.5  # of an item's tokens, from which a document is taken to hold it
 ITEM_BLOCK = 32_000_000  # bytes of benchmark text that go to all tasks at once
 BLOCK = 1 << 21
-PRIME = (1 << 61) - 1
+PAIRS = 1 << 20
 BASE = 911_382_323_371
 
 
@@ -47,54 +48,77 @@ def seeds(tok: np.ndarray, n: int) -> np.ndarray:
     return mix(h)
 
 
+def _rolled(codes: np.ndarray, n: int) -> np.ndarray:
+    """Karp-Rabin hashes of all runs of n codes, from running sums modulo 2 ** 64."""
+    if len(codes) < n:
+        return np.zeros(0, np.uint64)
+    up = np.cumprod(np.full(len(codes), BASE, np.uint64))
+    down = np.cumprod(np.full(len(codes), pow(BASE, -1, 1 << 64), np.uint64))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes.astype(np.uint64) * down)])
+    return mix((sums[n:] - sums[:-n]) * up[: len(codes) - n + 1])
+
+
+def _maximal(a: np.ndarray, b: np.ndarray, n: int) -> list[tuple[int, int, int]]:
+    """(-length, place in a, place in b) of all matches of n codes or more that no side can extend.
+
+    Places with one hash are compared in portions of PAIRS; those whose codes before them agree belong to a longer match
+    and are passed over, so a long repetition is one match for each of its diagonals.
+    """
+    of_a, of_b = _rolled(a, n), _rolled(b, n)
+    order = np.argsort(of_a, kind="stable")
+    sorted_a = of_a[order]
+    low, high = np.searchsorted(sorted_a, of_b), np.searchsorted(sorted_a, of_b, "right")
+    hit = np.flatnonzero(high > low)
+    count = (high - low)[hit]
+    total = np.cumsum(count)
+    out: list[tuple[int, int, int]] = []
+    x = 0
+    while x < len(hit):
+        y = max(x + 1, int(np.searchsorted(total, total[x] - count[x] + PAIRS, "right")))
+        m = count[x:y]
+        j = np.repeat(hit[x:y], m)
+        i = order[np.repeat(low[hit[x:y]], m) + np.arange(len(j)) - np.repeat(np.cumsum(m) - m, m)]
+        first = (i == 0) | (j == 0) | (a[i - 1] != b[j - 1])
+        i, j = i[first], j[first]
+        size, live = np.zeros(len(i), np.int64), np.arange(len(i))
+        while len(live):
+            at_i, at_j = i[live] + size[live], j[live] + size[live]
+            inside = (at_i < len(a)) & (at_j < len(b))
+            live, at_i, at_j = live[inside], at_i[inside], at_j[inside]
+            live = live[a[at_i] == b[at_j]]
+            size[live] += 1
+        ok = size >= n
+        out += zip((-size[ok]).tolist(), i[ok].tolist(), j[ok].tolist(), strict=True)
+        x = y
+    return out
+
+
 def tile(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in item, place in doc, length) of non-overlapping matches, longest first.
 
-    Running Karp-Rabin with falling search lengths: hashes of unmarked runs of the item are kept in a table, those of the
-    document are rolled along it, matches are checked and extended; when one is over twice the search length, the search
-    starts again from it. Ties go to the earlier place in the item, then in the document.
+    Running Karp-Rabin with falling search lengths: hashes of the document's runs are looked up among the item's, matches
+    are checked, extended and handed out longest first; what a tile leaves of a match goes back if it is long enough, else
+    a later, shorter search finds it. Ties go to the earlier place in the item, then in the document.
     """
-    marked_i, marked_d, tiles = bytearray(len(item)), bytearray(len(doc)), []
+    names: dict[int, int] = {}
+    codes = np.array([names.setdefault(t, len(names) + 2) for t in (*item, *doc)], np.int64)
+    a, b, tiles = codes[: len(item)].copy(), codes[len(item) :].copy(), []
     length = max(least, len(item) // 2)
-
-    def rolled(text: list[int], marked: bytearray, s: int):
-        power, h, run = pow(BASE, s - 1, PRIME), 0, 0
-        for j, t in enumerate(text):
-            if marked[j]:
-                h = run = 0
-                continue
-            if run >= s:
-                h = (h - text[j - s] * power) % PRIME
-            h = (h * BASE + t) % PRIME
-            run += 1
-            if run >= s:
-                yield h, j - s + 1
-
     while True:
-        table = defaultdict(list)
-        for h, i in rolled(item, marked_i, length):
-            table[h].append(i)
-        found, longest = defaultdict(list), 0
-        for h, j in rolled(doc, marked_d, length):
-            for i in table.get(h, ()):
-                k = 0
-                while i + k < len(item) and j + k < len(doc) and item[i + k] == doc[j + k] and not marked_i[i + k] and not marked_d[j + k]:
-                    k += 1
-                if k >= length:
-                    found[k].append((i, j))
-                    longest = max(longest, k)
-        if longest > 2 * length:
-            length = longest
-            continue
-        made = False
-        for k in sorted(found, reverse=True):
-            for i, j in sorted(found[k]):
-                if not any(marked_i[i : i + k]) and not any(marked_d[j : j + k]):
-                    marked_i[i : i + k] = marked_d[j : j + k] = b"\1" * k
-                    tiles.append((i, j, k))
-                    made = True
-        if made:  # what a tile cut short may still match at this length
-            continue
+        queue = _maximal(a, b, length)
+        heapq.heapify(queue)
+        while queue:
+            k, i, j = heapq.heappop(queue)
+            k = -k
+            free = (a[i : i + k] > 1) & (b[j : j + k] > 1)
+            if free.all():
+                a[i : i + k], b[j : j + k] = 0, 1  # marked places equal nothing
+                tiles.append((i, j, k))
+                continue
+            edges = np.flatnonzero(np.diff(free.astype(np.int8), prepend=0, append=0))
+            for x, y in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+                if y - x >= length:
+                    heapq.heappush(queue, (x - y, i + x, j + x))
         if length <= least:
             return tiles
         length = max(least, length // 2)
@@ -106,7 +130,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id", t
     Seeds are runs of `match` tokens (the whole item where it has fewer) that document and item share. Only the stretches
     of a document within seeds of an item are tiled, which no tile of that length can leave, so the order of passages and
     what stands between them do not matter. Items go to all tasks in blocks of ITEM_BLOCK bytes, whatever their number.
-    Cases: null or tokenless texts and items match nothing; repeated items are items of their own; a null id is kept;
+    Cases: null, empty or tokenless texts and items match nothing; texts of any length and repetition are tiled whole; repeated items are items of their own; a null id is kept;
     repeated rows are reported as often as they occur; empty tables give no rows; other columns are left out.
     """
     spark = docs.sparkSession
@@ -182,5 +206,6 @@ def _tiler(block: list[tuple[int, str]], coverage: float, match: int):
 
 
 def op7_greedy_string_tiling(spark, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they hold, over all documents and items; cases as contaminated()."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
     return contaminated(docs, items)

@@ -82,7 +82,7 @@ def test_substrings(docs, none, rows):
     assert substrings.repeated_substrings(none).count() == 0
 
 
-def test_simhash(docs, none, rows):
+def test_simhash(docs, none, rows, monkeypatch):
     def fp(t):
         w = (t or "").encode().lower().split()
         s = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [b" ".join(w)] * bool(w)
@@ -103,6 +103,8 @@ def test_simhash(docs, none, rows):
     wanted = [(i, f"{f[k]:016x}", least.get(label[k])) for k, (i, _) in enumerate(rows)]
     assert collected(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == sorted(wanted, key=repr)
     assert simhash.near_duplicates(none).count() == 0
+    monkeypatch.setattr(simhash, "HEAVY", 2)
+    assert collected(simhash.near_duplicates(docs), "doc_id", "fingerprint", "component_id") == sorted(wanted, key=repr)
 
 
 def test_near_copies(spark, docs, none, rows, monkeypatch):
@@ -294,6 +296,46 @@ def test_tiling(spark, docs, none):
     assert decontam.contaminated(d, items.limit(0)).count() == 0
 
 
+def plain_tiles(item, doc, least):
+    """The longest common run of unmarked tokens, again and again."""
+    a, b, tiles = list(item), list(doc), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] is not None and a[i + k] == b[j + k]:
+                    k += 1
+                if k > best[0]:
+                    best = (k, i, j)
+        k, i, j = best
+        if k < least:
+            return tiles
+        a[i : i + k], b[j : j + k] = [None] * k, [None] * k
+        tiles.append((i, j, k))
+
+
+def test_tiles_against_brute_force():
+    r = random.Random(4)
+    for n in range(150):
+        letters = r.choice([1, 2, 3, 8])
+        item, doc = ([r.randrange(letters) for _ in range(r.randrange(25))] for _ in range(2))
+        if n % 3 == 0 and item:
+            doc = doc[:4] + item[len(item) // 2 :] + doc[4:9] + item[: len(item) // 2]
+        least = r.choice([1, 2, 5])
+        assert sorted(decontam.tile(item, doc, least)) == sorted(plain_tiles(item, doc, least))
+    assert decontam.tile([7] * 400, [7] * 20_000, 5) == [(0, 0, 400)]
+
+
+def test_tiling_cases(spark):
+    words = [f"t{i}" for i in range(30)]
+    items = spark.createDataFrame([(1, " ".join(words)), (1, " ".join(words)), (None, " ".join(words[:12])), (5, "")], "item_id long, text string")
+    long = "same word " * 20_000 + " ".join(words[10:]) + " x " + " ".join(words[:10])
+    d = spark.createDataFrame([(1, long, 1), (1, long, 1), (None, " ".join(words[:12]), 2), (2, "", 3)], "doc_id long, text string, item_id int")
+    out = collected(decontam.contaminated(d, items), "doc_id", "item_id", "covered", "n_tiles")
+    assert out == sorted([(1, 1, 30, 2)] * 4 + [(1, None, 10, 1)] * 2 + [(None, None, 12, 1)], key=repr)
+
+
 def test_language(spark, docs, none):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     model = langid.train(d)
@@ -316,7 +358,9 @@ def test_many_languages_and_planes(spark):
     one_id = [(1, f"w{i} same", "xx") for i in range(500)] + [(2 + i, "other words", "yy") for i in range(9)]
     assert langid.train(spark.createDataFrame(one_id, "doc_id long, text string, lang string"), docs_per_lang=2)["langs"] == ["xx", "yy"]
     high = spark.createDataFrame([(1, "\U0001e900\U0001e901 \U00010330"), (2, "\U0001f600")], "doc_id long, text string")
-    assert {x["doc_id"]: x["lang_pred"] == "und" for x in langid.identify(high, model).collect()} == {1: False, 2: True}
+    assert {x["doc_id"]: (x["lang_pred"] == "und", x["score"]) for x in langid.identify(high, model).collect()} == {1: (False, 0.0), 2: (True, 0.0)}
+    mixed = spark.createDataFrame([(1, f"{some[5][1]} Россия 中国"), (1, f"{some[5][1]} Россия 中国")], "doc_id long, text string")
+    assert [(x["lang_pred"], x["score"]) for x in langid.identify(mixed, model).collect()] == [("l05", 1.0)] * 2
 
 
 def test_viterbi_shortcut():

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from quillstone.llm.common import materialise
 
@@ -28,16 +29,8 @@ def global_rows(rows: DataFrame, order: list[str], name: str) -> DataFrame:
     part = F.shiftright(F.col("_qs_place"), 33)
     counts = ranged.groupBy(part.alias("_qs_part")).agg(F.count(F.lit(1)).alias("_qs_n"))
     # one row for each range: as many as the range shuffle has partitions
-    before = counts.groupBy().agg(F.array_sort(F.collect_list(F.struct("_qs_part", "_qs_n"))).alias("all"))
-    sums = F.aggregate(
-        "all",
-        F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<_qs_part: bigint, _qs_at: bigint>>)").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + x["_qs_n"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(x["_qs_part"].alias("_qs_part"), acc["at"].alias("_qs_at")))).alias("out"),
-        ),
-    )
-    offsets = before.select(F.explode(sums["out"]).alias("o")).select("o.*")
+    earlier = Window.orderBy("_qs_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_qs_part", F.coalesce(F.sum("_qs_n").over(earlier), F.lit(0)).alias("_qs_at"))
     joined = ranged.withColumn("_qs_part", part).join(F.broadcast(offsets), "_qs_part")
     number = F.col("_qs_at") + F.col("_qs_place").bitwiseAND(F.lit((1 << 33) - 1))
     return joined.select("*", number.alias(name)).drop("_qs_part", "_qs_at", "_qs_place")
@@ -105,6 +98,7 @@ def shards(docs: DataFrame, *, n_shards: int = 40, seed: int = 20240607, id_col:
 
 
 def op3_feistel_sharding(spark, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of all documents in 40 shards; cases as shards()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = shards(docs)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -16,6 +16,7 @@ SHINGLE = 3
 SEED = 42
 RADIUS = 3
 HALF = 32  # bits of one of the two segments; with RADIUS 3 one segment differs by at most 1 bit
+HEAVY = 100_000  # rows of one fingerprint from which its class is broadcast to them
 HOT = 8192  # fingerprints with the same segment from which they are dealt over several tasks
 
 
@@ -166,16 +167,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = materialise(fingerprints(docs, id_col, text_col), "fingerprints")
     lone = F.min(F.coalesce("doc_id", F.lit(2**63 - 1)))
-    raw = fps.groupBy("fp").agg(lone.alias("least"))
+    raw = fps.groupBy("fp").agg(lone.alias("least"), F.count(F.lit(1)).alias("n"))
     # a class is named by its fingerprint: ids may repeat
     classes = materialise(raw.withColumn("node", F.col("fp")), "classes")
     edges = materialise(links(classes), "links")
     found = components(edges)
-    linked = classes.join(found, "node", "left").select("fp", "least", F.coalesce("component", "node").alias("component"))
+    linked = classes.join(found, "node", "left").select("fp", "least", "n", F.coalesce("component", "node").alias("component"))
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(smallest, "component").select("fp", F.expr("nullif(component_id, 9223372036854775807)").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = linked.join(smallest, "component").select("fp", "n", F.expr("nullif(component_id, 9223372036854775807)").alias("component_id"))
+    named = materialise(named, "named")
+    # rows of a fingerprint that very many share stay where they are; there are rows / HEAVY such fingerprints at most
+    heavy = F.broadcast(named.where(F.col("n") > HEAVY).drop("n"))
+    light = fps.join(heavy, "fp", "left_anti").join(named.where(F.col("n") <= HEAVY).drop("n"), "fp")
+    return fps.join(heavy, "fp").unionByName(light).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of all documents: 3-word shingles, links at 3 bits; cases as near_duplicates()."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -29,6 +29,7 @@ FLUSH = 1_000_000  # records that a task compares among themselves before it sen
 BUCKET = 1_000_000  # records for each bucket of the first digit, about
 PLACE = np.uint64((1 << 22) - 1)
 TEXT_BUCKET = 48_000_000  # bytes of text in a bucket of the table of texts
+MOST_TEXT_BUCKETS = 50_000  # beyond, the buckets grow
 MOST_FILES = 8192
 MULTIPLIERS = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93)]
 
@@ -139,11 +140,9 @@ class Sender:
         bucket = (k1 >> np.uint64(16)).astype(np.int64) * self.buckets >> 32
         bucket[sure] = np.arange(int(sure.sum())) * self.buckets // max(1, int(sure.sum()))
         order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
-        for b in range(self.buckets):
-            rows = order[edges[b] : edges[b + 1]]
-            if not len(rows):
-                continue
+        present, first = np.unique(bucket[order], return_index=True)
+        for b, x, y in zip(present.tolist(), first.tolist(), [*first[1:].tolist(), len(order)], strict=True):
+            rows = order[x:y]
             s, o = rows[sure[rows]], rows[~sure[rows]]
             cols = [k1[o], k2[o], doc[o], start[o], n[o], doc[s], start[s], n[s]]
             yield pa.RecordBatch.from_arrays(
@@ -311,7 +310,7 @@ def _by_uid(rows: DataFrame, size: int) -> DataFrame:
     Where as many tasks as read the input would write more than MOST_FILES files, texts are shuffled once before.
     """
     spark = rows.sparkSession
-    n = max(8, -(-size // TEXT_BUCKET))
+    n = min(MOST_TEXT_BUCKETS, max(8, -(-size // TEXT_BUCKET)))
     if rows.rdd.getNumPartitions() * n > MOST_FILES:
         rows = rows.repartition(n, "uid")
     name = f"qs_texts_{uuid.uuid4().hex[:12]}"
@@ -323,4 +322,5 @@ def _by_uid(rows: DataFrame, size: int) -> DataFrame:
 
 
 def op5_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of all documents; cases as repeated_substrings()."""
     return repeated_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -26,7 +26,7 @@ from quillstone.llm.common import shared_dir
 
 END_ID = 2
 BUCKET_DOCS = 8192
-MOST_BUCKETS = 4096  # beyond, a bucket has more files
+MOST_BUCKETS = 32_768  # beyond, a bucket has more files
 FILE_DOCS = 65_536  # documents of a file; the tables of one file are in memory at a time
 READ_TASKS = 20_000  # tasks that read files, at most
 LEVEL = 1

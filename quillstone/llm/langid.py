@@ -140,10 +140,10 @@ class Scorer:
     def __init__(self, model: dict):
         self.model, self.words, self.known = model, Words(), {}
         self.table = np.zeros((0, len(model["langs"])), np.float32)
-        self.letters = np.zeros(0, np.int64)
+        self.letters = np.zeros((0, 2), np.int64)
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Score of each word in each language, and its letters."""
+        """Score of each word in each language, its letters and those of scripts that a language was seen in."""
         known = self.known
         if len(known) > CACHE * WIDE // max(WIDE, self.table.shape[1]):
             known.clear()
@@ -168,7 +168,7 @@ class Scorer:
         some = allowed.any(1)
         total[some] = np.where(allowed[some], total[some], total[some].min(1, keepdims=True) - 2 * SWITCH)
         total[~some | (letters == 0)] = 0
-        return total.astype(np.float32), letters
+        return total.astype(np.float32), np.stack([letters, letters * some], 1)
 
 
 def viterbi(score: np.ndarray, switch: float) -> np.ndarray:
@@ -226,7 +226,8 @@ def identify(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col:
 
     lang_pred has the most letters in spans (ties: first in the order of names), score is their share. Cases: null, empty
     or letterless text gives `und`, score 0 and no spans, as does a model without languages; words in a script that no
-    language was seen in weigh for none; repeated rows are judged alike; an empty table gives no rows; other columns are
+    language was seen in weigh for none, and a text of such words alone gets the first language with score 0 and no spans;
+    very long words are scored in parts; repeated rows are judged alike; an empty table gives no rows; other columns are
     left out.
     """
     langs = model["langs"]
@@ -249,12 +250,13 @@ def identify(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col:
                 ends = np.array(off)
                 label = paths(score, ends, switch)
                 doc = np.repeat(np.arange(len(off) - 1), np.diff(ends))
-                sums = np.bincount(doc * len(langs) + label, letters, (len(off) - 1) * len(langs)).reshape(-1, len(langs))
+                sums = np.bincount(doc * len(langs) + label, letters[:, 1], (len(off) - 1) * len(langs)).reshape(-1, len(langs))
                 total = sums.sum(1)
+                some = np.bincount(doc, letters[:, 0], len(off) - 1)
                 top = sums.argmax(1)
                 for d in range(len(off) - 1):
                     if not total[d]:
-                        out.append(("und", 0.0, []))
+                        out.append((langs[0] if some[d] else "und", 0.0, []))
                         continue
                     part = label[off[d] : off[d + 1]]
                     cut = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(part)]
@@ -269,6 +271,7 @@ def identify(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col:
 
 
 def op1_viterbi_language_spans(spark, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, n_spans of all documents, from the part that is not held out; cases as identify()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = identify(docs, train(docs))
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))

@@ -292,13 +292,14 @@ def _verified(pairs: DataFrame, rows: DataFrame, shingle: int, similarity: float
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, component_id of every row of docs; links are all pairs with a Jaccard similarity of `similarity` or more.
+    """doc_id, component_id, text_hash, component of every row of docs; links are all pairs with a Jaccard similarity of `similarity` or more.
 
     Texts with one set of shingles form one class. SimHash links and a few pairs of each shingle are verified first, so
     that large groups are joined by few pairs; then all pairs of classes still apart that share one of the first
     n - ceil(similarity n) + 1 shingles in a common order are verified, where more than MANY share it only those that
     their parity sketches (an exact bound) allow. Similar sets always share one of these, so none
-    is missed. component_id is the smallest id reachable over links. Cases: null, empty and blank texts are one class;
+    is missed. component_id is the smallest id reachable over links; text_hash (XXH64 of the text) tells rows of one id
+    apart, component names the component. Cases: null, empty and blank texts are one class;
     repeated ids and rows are rows of their own; a null id is the smallest only if its component has no other; an empty
     table gives no rows.
     """
@@ -331,5 +332,17 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named = components(reduce(DataFrame.union, found))
     linked = classes.join(named, "node", "left").select("node", "least", F.coalesce("component", "node").alias("component"))
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = linked.join(smallest, "component").select("node", F.expr(f"nullif(component_id, {NONE})").alias("component_id"))
-    return rows.select("doc_id", "node").join(ids, "node").select("doc_id", "component_id")
+    ids = linked.join(smallest, "component").select("node", "component", F.expr(f"nullif(component_id, {NONE})").alias("component_id"))
+    named = rows.select("doc_id", "node", text_hash("text").alias("text_hash"))
+    return named.join(ids, "node").select("doc_id", "component_id", "text_hash", "component")
+
+
+def representatives(copies: DataFrame) -> DataFrame:
+    """doc_id, text_hash of the row that stands for each component: the smallest id (null last), then the smallest hash."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("r")
+    return copies.groupBy("component").agg(first).select("r.doc_id", "r.text_hash")
+
+
+def text_hash(text: str):
+    """Of a text column; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))

@@ -18,7 +18,7 @@ ALPHA, BETA, L1, L2 = 0.5, 0.1, 0.0005, 0.001
 EPOCHS = 4
 CUT = 0.7
 CACHE = 300_000
-STREAMS = 5
+MULTIPLIERS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 _OTHER = re.compile(r"[^\W\d_]+|\d+")
 
 
@@ -43,25 +43,20 @@ class Hashes(dict):
         return value
 
 
-def ngrams(words: list[str], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and weights of a document's features: words, word pairs, shapes, shape pairs and shape triples.
-
-    Each of the five streams sums to 1. A pair of equal words is one feature whatever the word.
-    """
+def ngrams(words: list[str], hashes: Hashes, forms: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and weights of a document's features: runs of one, two and three words, lower-cased; with forms also the
+    same runs of the words' shapes. The runs of one length sum to 1."""
     if not words:
         return np.zeros(0, np.int64), np.zeros(0)
     both = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    w, s = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
-    k = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-    parts = [w * k[0] + np.uint64(1), s * k[0] + np.uint64(2)]
-    if len(words) > 1:
-        pair = w[:-1] * k[1] + w[1:] * k[0] + np.uint64(3)
-        pair[w[:-1] == w[1:]] = 3
-        parts += [pair, s[:-1] * k[1] + s[1:] * k[0] + np.uint64(4)]
-    if len(words) > 2:
-        parts.append((s[:-2] * k[1] + s[1:-1]) * k[2] + s[2:] * k[0] + np.uint64(5))
+    parts = []
+    for kind, x in enumerate((both >> np.uint64(32), both & np.uint64(0xFFFFFFFF))[: 1 + forms]):
+        run = np.full(len(x), np.uint64(kind + 1))
+        for n in range(min(3, len(x))):
+            run = run[: len(x) - n] * MULTIPLIERS[n] + x[n:]
+            parts.append(mix(run * MULTIPLIERS[0] + np.uint64(n)))
     weight = np.concatenate([np.full(len(p), 1.0 / len(p)) for p in parts])
-    return (mix(np.concatenate(parts)) >> np.uint64(64 - BITS)).astype(np.int64), weight
+    return (np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64), weight
 
 
 def follow_leader(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
@@ -88,8 +83,10 @@ def follow_leader(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: in
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> dict:
     """Weights learned from `sample` labelled documents at most that are not held out, in an order by a hash of the id.
 
-    An id with several labels counts as 1 if any label is 1; labels other than 0 and 1 and null ones are not used. Without
-    labels the score of every text is 0.5.
+    Cases: an id with several labels counts as 1 if any label is 1; labels other than 0 and 1 and null ones are not used,
+    neither are null ids; null and empty texts teach the bias alone; texts count whole, however long; repeated rows each
+    count, up to 2 * sample rows in all; without labels or documents the score of every text is 0.5; other columns of
+    either table do not matter.
     """
     known = labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull() & ~held_out(labels[id_col]))
     marks = known.groupBy(known[id_col].cast("long").alias("_qs_id")).agg(F.max(known[label_col]).alias("y"))
@@ -122,7 +119,11 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 
 def score(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of docs and _qs_score, the chance of label 1, of every row. A null or empty text has the bias alone."""
+    """All columns of docs and _qs_score, the chance of label 1, of every row.
+
+    Cases: a null, empty or blank text has the bias alone; texts are scored whole, one at a time; repeated rows get equal
+    scores; an empty table stays empty; columns named _qs_text or _qs_score are replaced, all others kept.
+    """
     w, bias = model["w"], model["bias"]
 
     def run(batches):
@@ -138,12 +139,14 @@ def score(docs: DataFrame, model: dict, *, id_col: str = "doc_id", text_col: str
                 out[i] = 1 / (1 + np.exp(-np.clip(total, -35, 35)))
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(b.num_columns - 1)], pa.array(out)], [*b.schema.names[:-1], "_qs_score"])
 
+    docs = docs.select(*[docs[c] for c in docs.columns if c not in ("_qs_text", "_qs_score")])
     rows = docs.withColumn("_qs_text", docs[text_col].cast("string"))
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.mapInArrow(run, f"{kept}, _qs_score double")
 
 
 def op4_ftrl_quality(spark, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted of all documents; cases as train() and score()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = score(docs, model)

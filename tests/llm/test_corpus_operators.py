@@ -374,6 +374,39 @@ def test_viterbi_shortcut():
             assert value(got[a:b]) == pytest.approx(value(langid.viterbi(score[a:b], 9.0)))
 
 
+def test_one_row_of_each_group_stays(spark, none):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(1, a, "x"), (2, a, "x"), (2, b, "x"), (3, c, "x"), (3, c, "y"), (3, c, "x"), (None, c, "x"), (None, "only here in full", "x"), (5, None, "x"), (6, " ", "x"), (6, "", "x"), (4, b + " and", "x")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = collected(corpus_pipeline.keep_one(spark, table, SF), "doc_id", "text")
+    assert out == sorted([(1, a), (2, b), (3, c), (None, "only here in full"), (5, None)], key=repr)
+    assert corpus_pipeline.keep_one(spark, none, SF).columns == none.columns
+
+
+def test_training_against_plain_updates():
+    r = np.random.default_rng(3)
+    examples = [(np.append(np.unique(r.integers(0, 50, 6)), 1 << quality.BITS), None, int(i % 3 > 0)) for i in range(40)]
+    examples = [(at, np.append(r.random(len(at) - 1), 1.0), y) for at, _, y in examples]
+    z, n = {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= quality.L1:
+            return 0.0
+        return -(z[i] - (quality.L1 if z[i] > 0 else -quality.L1)) / ((quality.BETA + n[i] ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for at, x, y in examples:
+            own = [weight(i) for i in at.tolist()]
+            p = 1 / (1 + np.exp(-sum(a * b for a, b in zip(own, x, strict=True))))
+            for i, v, w in zip(at.tolist(), x.tolist(), own, strict=True):
+                g, before = (p - y) * v, n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - before**0.5) / quality.ALPHA * w
+    got, bias = quality.follow_leader(examples)
+    assert bias == pytest.approx(weight(1 << quality.BITS))
+    assert all(got[i] == pytest.approx(weight(i)) for i in range(50))
+
+
 def test_quality(spark, docs, none):
     d, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     model = quality.train(d, labels)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import designation as D
 from quillstone.operators import relational as R
 from quillstone.operators import text as T
-from quillstone.plans import catalogue, identity, upkeep  # noqa: F401
+from quillstone.plans import catalogue, identity, queue, upkeep  # noqa: F401
 from quillstone.plans.fixtures import TABLES
 from quillstone.sources import readers, sinks
 from quillstone.streaming import harvest

@@ -44,7 +44,7 @@ def test_page_lines(page, lines):
 
 def test_contexts_and_similarity(spark):
     text = "word " * 100 + "podle zákona č. 458/2000 Sb., o podmínkách " + "konec " * 100
-    c = T.context(text, text.index("458"))
+    c = spark.createDataFrame([(text,)], "t string").select(T.context(F.col("t"), F.lit(text.index("458"))).alias("c")).first()["c"]
     assert c["cited"] == "458/2000 Sb." and c["before"].endswith("zákona č. ") and len(c["before"]) <= 300 and c["after"].startswith(", o") and c["after"].endswith("konec")
     df = spark.createDataFrame([("A  b", "a B", "Á\xa0x"), (None, "x", None)], "a string, b string, q string")
     rows = df.select(T.title_similarity(F.col("a"), F.col("b")).alias("s"), T.query_form(F.col("q")).alias("q")).collect()

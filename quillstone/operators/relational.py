@@ -148,7 +148,10 @@ def assign_slugs(records: DataFrame, pinned: DataFrame | None = None) -> DataFra
     w = Window.partitionBy("base").orderBy("designation", "title", "seq")
     ranked = records.withColumn("_qs_n", F.row_number().over(w))
     if pinned is not None:
-        taken = pinned.select(F.regexp_replace("slug", r"-\d+$", "").alias("base"), F.coalesce(F.nullif(F.regexp_extract("slug", r"-(\d+)$", 1), F.lit("")).cast("int"), F.lit(1)).alias("n"))
+        # a pinned slug may be a base itself or a base with a number that would be handed out
+        number = F.nullif(F.regexp_extract("slug", r"-([1-9]\d{0,8})$", 1), F.lit("")).cast("int")
+        ways = F.array(F.struct(F.col("slug").alias("base"), F.lit(1).alias("n")), F.when(number >= 2, F.struct(F.regexp_replace("slug", r"-\d+$", "").alias("base"), number.alias("n"))))
+        taken = pinned.select(F.explode(F.array_compact(ways)).alias("w")).select("w.*")
         taken = taken.groupBy("base").agg(F.array_sort(F.collect_set("n")).alias("_qs_taken"))
         free = F.aggregate(F.coalesce("_qs_taken", F.array().cast("array<int>")), F.col("_qs_n"), lambda at, t: F.when(t <= at, at + 1).otherwise(at))
         ranked = ranked.join(taken, "base", "left").withColumn("_qs_n", free).drop("_qs_taken")

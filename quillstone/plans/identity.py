@@ -113,60 +113,31 @@ def _prefix_fallback(p: DataFrame, t: DataFrame) -> DataFrame:
     return first.union(alike.select("id", "target", F.lit("title")))
 
 
-def _titled(s, d) -> DataFrame:
-    return part(s, d).select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
-
-
-@query("WITH c AS (SELECT p_brand, count(*) AS n FROM part WHERE p_partkey % 40 = 0 GROUP BY 1), one AS (SELECT p_brand, p_partkey FROM part WHERE p_partkey % 40 = 0 AND p_brand IN (SELECT p_brand FROM c WHERE n = 1)) SELECT p.p_partkey AS id, one.p_partkey AS target, 'designation' AS way FROM part p JOIN one ON p.p_brand = one.p_brand UNION ALL SELECT p.p_partkey, t.p_partkey, 'title' FROM part p JOIN part t ON t.p_partkey % 40 = 0 AND (starts_with(t.p_name, p.p_name) OR starts_with(p.p_name, t.p_name)) WHERE p.p_brand NOT IN (SELECT p_brand FROM one)")
+@query("WITH one AS (SELECT p_brand, min(p_partkey) AS target FROM part WHERE p_brand IS NOT NULL GROUP BY 1 HAVING count(*) = 1) SELECT p.p_partkey AS id, one.target, 'designation' AS way FROM part p JOIN one ON p.p_brand = one.p_brand UNION ALL SELECT DISTINCT p.p_partkey, t.p_partkey, 'title' FROM part p JOIN part t ON starts_with(t.p_name, p.p_name) OR starts_with(p.p_name, t.p_name) WHERE NOT EXISTS (SELECT 1 FROM one WHERE one.p_brand = p.p_brand)")
 def j19_prefix_fallback(s, d):
-    """One part in 40 as targets, as its SQL."""
-    return _prefix_fallback(_titled(s, d), _titled(s, d).where("id % 40 = 0"))
-
-
-@query()
-def j19_every_prefix_fallback(s, d):
-    return _prefix_fallback(_titled(s, d), _titled(s, d))
+    titled = part(s, d).select(F.col("p_partkey").alias("id"), "p_brand", "p_name")
+    return _prefix_fallback(titled, titled)
 
 
-def _shared_keys(s, d, a: DataFrame) -> DataFrame:
-    """Other acts that share a key with an act of a."""
-    a = a.select(F.col("l_orderkey").alias("id"), "l_partkey", "l_suppkey").distinct()
+@query("WITH k AS (SELECT DISTINCT l_orderkey, l_partkey, l_suppkey FROM lineitem) SELECT DISTINCT a.l_orderkey AS id, b.l_orderkey AS other FROM k a JOIN k b ON a.l_partkey = b.l_partkey AND a.l_suppkey = b.l_suppkey WHERE a.l_orderkey <> b.l_orderkey AND b.l_orderkey IN (SELECT o_orderkey FROM orders)")
+def j22_shared_keys(s, d):
+    """Other acts that share a key with an act."""
+    a = lineitem(s, d).select(F.col("l_orderkey").alias("id"), "l_partkey", "l_suppkey").distinct()
     b = lineitem(s, d).join(orders(s, d), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").select(F.col("l_orderkey").alias("other"), "l_partkey", "l_suppkey").distinct()
     return a.join(b, ["l_partkey", "l_suppkey"]).where("id <> other").select("id", "other").distinct()
 
 
-@query("SELECT DISTINCT a.l_orderkey AS id, b.o_orderkey AS other FROM lineitem a JOIN lineitem l ON a.l_partkey = l.l_partkey AND a.l_suppkey = l.l_suppkey JOIN orders b ON b.o_orderkey = l.l_orderkey WHERE a.l_orderkey <> b.o_orderkey AND a.l_orderkey % 10 = 0")
-def j22_shared_keys(s, d):
-    """Of one act in ten, as its SQL."""
-    return _shared_keys(s, d, lineitem(s, d).where("l_orderkey % 10 = 0"))
-
-
-@query()
-def j22_every_shared_key(s, d):
-    return _shared_keys(s, d, lineitem(s, d))
-
-
-def _series_or_parts(s, d, ref: DataFrame) -> DataFrame:
-    """The number itself, else all parts of its series."""
+@query("WITH r AS (SELECT p_partkey AS ref FROM part WHERE p_partkey IS NOT NULL UNION SELECT p_partkey // 10 FROM part WHERE p_partkey IS NOT NULL), e AS (SELECT ref FROM r JOIN part ON p_partkey = ref WHERE ref % 3 = 0) SELECT ref, p_partkey AS target FROM e JOIN part ON p_partkey = ref UNION ALL SELECT ref, p_partkey FROM r JOIN part ON p_partkey // 10 = ref WHERE ref NOT IN (SELECT ref FROM e)")
+def j23_series_or_parts(s, d):
+    """The number itself, else all parts of its series; references to every part and every series of the table."""
     p = part(s, d)
+    known = p.where("p_partkey is not null")
+    ref = known.selectExpr("p_partkey as ref").union(known.selectExpr("p_partkey div 10")).distinct()
     exact = ref.where("ref % 3 = 0").join(p, F.col("ref") == F.col("p_partkey")).select("ref", F.col("p_partkey").alias("target"))
     rest = ref.join(exact.select("ref").distinct(), "ref", "left_anti")
     return exact.union(rest.join(p, F.expr("p_partkey div 10") == F.col("ref")).select("ref", "p_partkey"))
 
 
-@query("WITH r AS (SELECT unnest(range(1, 400)) AS n) SELECT n AS ref, p_partkey AS target FROM r JOIN part ON p_partkey = n AND n % 3 = 0 UNION ALL SELECT n, p_partkey FROM r JOIN part ON p_partkey // 10 = n WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = n AND n % 3 = 0)")
-def j23_series_or_parts(s, d):
-    """References 1 to 399, as its SQL."""
-    return _series_or_parts(s, d, s.range(1, 400).select(F.col("id").alias("ref")))
-
-
-@query()
-def j23_every_series_or_part(s, d):
-    """References to every part and every series of the table."""
-    p = part(s, d).where("p_partkey is not null")
-    return _series_or_parts(s, d, p.selectExpr("p_partkey as ref").union(p.selectExpr("p_partkey div 10")).distinct())
-
-
 @query("SELECT o_orderkey AS id, CASE WHEN a.c_custkey IS NOT NULL THEN 'consolidation' WHEN b.c_custkey IS NOT NULL THEN 'main' END AS field, coalesce(a.c_name, b.c_name) AS path FROM orders LEFT JOIN customer a ON a.c_custkey = o_custkey * 2 AND a.c_acctbal > 0 LEFT JOIN customer b ON b.c_custkey = o_custkey AND b.c_acctbal > 0")
 def j36_manifest_lookup(s, d):
     """The first of a record's addresses, consolidations first, that a stored file has."""
@@ -267,9 +238,9 @@ def f27_keys_written(s, d):
     return part(s, d).select("p_partkey", A.written(key, kind).alias("designation"), A.celex(key, kind).alias("celex"))
 
 
-@query(r"SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(trim(substr(text, 1, 60)), '^([-–—:]|\d+(-\d+)*\s*:)') OR (regexp_matches(trim(substr(text, 1, 60)), '^[a-záčďéěíňóřšťúůýž]') AND NOT regexp_matches(trim(substr(text, 1, 60)), '(?i)^(zákon|vyhlášk|nařízení|nariaden|smernic|směrnic|usnesení|sdělení|vykonávacie|opatrenie)')) THEN 'název vypadá jako useknutý fragment textu' END, CASE WHEN n_chars < 300 THEN 'chybí popis/anotace dokumentu' END], lambda x: x IS NOT NULL), '; ') AS reasons FROM documents")
+@query(r"SELECT doc_id, array_to_string(list_filter([CASE WHEN regexp_matches(trim(text), '^([-–—:]|\d+(-\d+)*\s*:)') OR (regexp_matches(trim(text), '^[a-záčďéěíňóřšťúůýž]') AND NOT regexp_matches(trim(text), '(?i)^(zákon|vyhlášk|nařízení|nariaden|smernic|směrnic|usnesení|sdělení|vykonávacie|opatrenie)')) THEN 'název vypadá jako useknutý fragment textu' END, CASE WHEN n_chars < 300 THEN 'chybí popis/anotace dokumentu' END], lambda x: x IS NOT NULL), '; ') AS reasons FROM documents")
 def f20_review_reasons(s, d):
-    return documents(s, d).select("doc_id", A.review_reasons(F.col("source"), F.substring("text", 1, 60), F.when(F.col("n_chars") >= 300, F.col("text"))).alias("reasons"))
+    return documents(s, d).select("doc_id", A.review_reasons(F.col("source"), F.col("text"), F.when(F.col("n_chars") >= 300, F.col("text"))).alias("reasons"))
 
 
 @query("SELECT event_id, concat(day(ts), '. ', month(ts), '. ', year(ts)) AS shown, greatest(strftime(ts, '%Y-%m-%d'), '2024-01-15') AS checked FROM events")

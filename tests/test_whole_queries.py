@@ -23,7 +23,7 @@ def test_references_to_the_whole_table(spark, tmp_path):
     refs = {*keys, *(k // 10 for k in keys)}
     exact = {(r, r) for r in refs if r % 3 == 0 and r in keys}
     series = {(r, k) for r in refs for k in keys if k // 10 == r and (r, r) not in exact}
-    assert rows(spark, tmp_path, "j23_every_series_or_part") == sorted(exact | series)
+    assert rows(spark, tmp_path, "j23_series_or_parts") == sorted(exact | series)
     assert (402, 402) in exact and (500, 5000) in series
 
 
@@ -32,12 +32,11 @@ def test_shared_keys_of_all_acts(spark, tmp_path):
     table(spark, tmp_path, "lineitem", lines, "l_orderkey long, l_partkey long, l_suppkey long")
     table(spark, tmp_path, "orders", [(k,) for k in (1, 2, 13, 20, 5)], "o_orderkey long")
     wanted = {(a[0], b[0]) for a in lines for b in lines if a[1:] == b[1:] and a[0] != b[0] and b[0] != 99}
-    assert rows(spark, tmp_path, "j22_every_shared_key") == sorted(wanted)
+    assert rows(spark, tmp_path, "j22_shared_keys") == sorted(wanted)
 
 
 def test_titles_of_all_parts(spark, tmp_path):
     parts = [(1, "A", "red green"), (2, "A", "red"), (3, "A", "red green"), (4, "B", "blue"), (5, "A", "reddish"), (6, "A", "grey"), (80, "A", "grey blue")]
     table(spark, tmp_path, "part", parts, "p_partkey long, p_brand string, p_name string")
     wanted = {(4, 4, "designation")} | {(a, b, "title") for a, x, t in parts for b, _, u in parts if x == "A" and (t.startswith(u) or u.startswith(t))}
-    assert rows(spark, tmp_path, "j19_every_prefix_fallback") == sorted(wanted)
-    assert rows(spark, tmp_path, "j19_prefix_fallback") == [(k, 80, "designation") for k in (1, 2, 3, 5, 6, 80)]
+    assert rows(spark, tmp_path, "j19_prefix_fallback") == sorted(wanted)

@@ -5,15 +5,16 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 300_000
+CACHE = 700_000  # words that a worker process keeps, over its tasks
 REPLAY = 50_000  # words that are merged together
-LONG = 4096  # bytes of a word above which it is merged alone
+_ENCODERS: dict[tuple[str, str], Encoder] = {}
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -37,6 +38,8 @@ class Merges:
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = rank
         self.pairs = pairs
+        single = self.single
+        self.starts = np.array([[a << 32 | b in pairs for b in single.tolist()] for a in single.tolist()], bool)
 
     def replay(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word. Index: pair -> places of its left token, all words in one array with links to neighbours.
@@ -46,22 +49,21 @@ class Merges:
         the present one, the heap gives that pair next; places of the present pair in that word wait for it, so each word
         sees its merges in the order in which it alone would: lowest rank first, leftmost first.
         """
-        flat = b"".join(words)
-        token = self.single[np.frombuffer(flat, np.uint8)].tolist()
-        n = len(token)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        begin, at = [], 0
-        for w in words:
-            begin.append(at)
-            before[at] = -1
-            at += len(w)
-            after[at - 1] = -1
-        pairs, index = self.pairs, {}
-        get = pairs.get
-        for i in range(n):
-            j = after[i]
-            if j >= 0 and (pair := token[i] << 32 | token[j]) in pairs:
-                index.setdefault(pair, []).append(i)
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        codes, n = self.single[flat], len(flat)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        begin = (ends - np.fromiter(map(len, words), np.int64, len(words))).tolist()
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends - 1] = before[begin] = -1
+        first = np.flatnonzero((after[:-1] >= 0) & self.starts[flat[:-1], flat[1:]])
+        keys = codes[first] << 32 | codes[first + 1]
+        order = np.argsort(keys, kind="stable")
+        keys, first = keys[order], first[order]
+        cuts = np.flatnonzero(np.diff(keys, prepend=-1))
+        edges = [*cuts.tolist(), len(keys)]
+        first = first.tolist()
+        pairs, index = self.pairs, {pair: first[i:j] for pair, i, j in zip(keys[cuts].tolist(), edges, edges[1:], strict=False)}
+        get, token, after, before = pairs.get, codes.tolist(), after.tolist(), before.tolist()
         heap = [(pairs[p], p) for p in index]
         heapq.heapify(heap)
         alive = bytearray(b"\1") * n
@@ -123,21 +125,17 @@ class Merges:
 
 
 class Encoder:
-    """Ids of texts: words by the pattern, each distinct word merged once and kept while there is room."""
+    """Ids of texts: words by the pattern, each distinct word merged once, its ids kept as bytes while there is room."""
 
     def __init__(self, merges: Merges, pattern: str):
         import regex
 
-        self.merges, self.find, self.known = merges, regex.compile(pattern).findall, {}
-
-    def words(self, text: str) -> list[str]:
-        return self.find(text)
+        self.merges, self.words, self.ids = merges, regex.compile(pattern).findall, {}
 
     def learn(self, texts: list[list[str]]) -> None:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        new = [w for w in set().union(*texts) if w not in known]
+        if len(self.ids) > CACHE:
+            self.ids.clear()
+        new = [w for w in set().union(*texts) if w not in self.ids]
         size, part = 0, []
         for w in new:
             part.append(w)
@@ -150,12 +148,19 @@ class Encoder:
     def _keep(self, words: list[str]) -> None:
         if words:
             for w, ids in zip(words, self.merges.replay([w.encode() for w in words]), strict=True):
-                self.known[w] = (ids, ",".join(map(str, ids)))
+                self.ids[w] = array("i", ids).tobytes()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.merges.bytes.__getitem__, ids))
 
 
+def encoder_of(items: list[tuple[bytes, int]], pattern: str, name: str) -> Encoder:
+    """The worker process's encoder, which keeps its words for the tasks that run there later."""
+    if (name, pattern) not in _ENCODERS:
+        _ENCODERS[name, pattern] = Encoder(Merges(dict(items)), pattern)
+    return _ENCODERS[name, pattern]
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
     """doc_id, ids (array; left out without with_ids), n_tokens, ids_sha256, decoded_sha256 of every row of docs.
 
@@ -163,22 +168,24 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
     without a match has no ids, and the sha256 of nothing; repeated rows are encoded alike; an empty table gives no rows;
     other columns are left out.
     """
-    items = list(ranks.items())
+    items = sorted(ranks.items())
+    name = hashlib.sha256(repr(items).encode()).hexdigest()
 
     def run(batches):
-        encoder = Encoder(Merges(dict(items)), pattern)
+        encoder = encoder_of(items, pattern, name)
         for b in batches:
             size = 64
             for at in range(0, b.num_rows, size):
                 texts = [encoder.words(t or "") for t in b.column(1).slice(at, size).to_pylist()]
                 encoder.learn(texts)
-                known, rows = encoder.known, []
-                for words in texts:
-                    found = [known[w] for w in words]
-                    ids = [i for f, _ in found for i in f]
-                    text = ",".join([s for _, s in found])
-                    rows.append((ids, len(ids), hashlib.sha256(text.encode()).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest()))
-                cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.list_(pa.int32()), pa.int64(), pa.string(), pa.string())) if k or with_ids]
+                ids = [np.frombuffer(b"".join(map(encoder.ids.__getitem__, words)), "<i4") for words in texts]
+                counts, digests = np.array([len(i) for i in ids], np.int64), []
+                for i in map(np.ndarray.tolist, ids):
+                    shown = str(i)[1:-1].replace(" ", "").encode()
+                    digests.append((hashlib.sha256(shown).hexdigest(), hashlib.sha256(encoder.decode(i)).hexdigest()))
+                cols = [pa.array(counts), *(pa.array(list(d)) for d in zip(*digests, strict=True))]
+                if with_ids:
+                    cols = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), pa.array(np.concatenate(ids))), *cols]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(at, size), *cols], ["doc_id", *["ids"] * with_ids, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
@@ -186,6 +193,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, id_col: st
 
 
 def op8_bpe_merge_replay(spark, sf_dir: str) -> DataFrame:
+    """Cases: null and empty texts have no ids and the digests of nothing; repeated rows are encoded alike; no rows, no result."""
     import public_tokenizers
 
     ranks = load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

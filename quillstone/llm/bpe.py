@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.llm.common import finder
+
 CACHE = 700_000  # words that a worker process keeps, over its tasks
 REPLAY = 50_000  # words that are merged together
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
@@ -128,9 +130,7 @@ class Encoder:
     """Ids of texts: words by the pattern, each distinct word merged once, its ids kept as bytes while there is room."""
 
     def __init__(self, merges: Merges, pattern: str):
-        import regex
-
-        self.merges, self.words, self.ids = merges, regex.compile(pattern).findall, {}
+        self.merges, self.words, self.ids = merges, finder(pattern), {}
 
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.ids) > CACHE:

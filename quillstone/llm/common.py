@@ -6,7 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +72,51 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def latin_findall(pattern: str) -> Callable[[str], list[str]] | None:
+    """findall of a pattern for texts below U+0100 alone: the standard engine, quicker, with the classes of `regex` spelt out.
+
+    None if the pattern has other escapes than \\p{L}, \\p{N}, \\s and \\S.
+    """
+    import re
+
+    import regex
+
+    def members(escape: str) -> str:
+        return "".join(f"\\x{c:02x}" for c in range(256) if regex.fullmatch(escape, chr(c)))
+
+    known = {e: members(e) for e in (r"\p{L}", r"\p{N}", r"\s")}
+    out, inside, at = [], False, 0
+    while at < len(pattern):
+        escape = next((e for e in (*known, r"\S") if pattern.startswith(e, at)), None)
+        if escape == r"\S" and not inside:
+            out.append(f"[^{known[chr(92) + 's']}]")
+        elif escape in known:
+            out.append(known[escape] if inside else f"[{known[escape]}]")
+        elif escape or pattern[at] == chr(92):
+            return None
+        else:
+            out.append(pattern[at])
+            inside = pattern[at] == "[" or (inside and pattern[at] != "]")
+        at += len(escape or " ")
+    return re.compile("".join(out)).findall
+
+
+def finder(pattern: str) -> Callable[[str], list[str]]:
+    """All matches of a pattern in a text, by the quicker engine where it gives the same."""
+    import regex
+
+    every, quick = regex.compile(pattern).findall, latin_findall(pattern)
+
+    def find(text: str) -> list[str]:
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return every(text)
+        return quick(text)
+
+    return find if quick else every
+
+
 def byte_codes(seed: int) -> np.ndarray:
     """A fixed random 64-bit code for each of 256 bytes."""
     with np.errstate(over="ignore"):

@@ -9,11 +9,8 @@ decompress the frames they want only.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import struct
-import sys
-import types
 import uuid
 import zlib
 
@@ -22,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import shared_dir
+from quillstone.llm.common import finder, shared_dir
 
 END_ID = 2
 BUCKET_DOCS = 8192
@@ -31,6 +28,7 @@ FILE_DOCS = 65_536  # documents of a file; the tables of one file are in memory
 READ_TASKS = 20_000  # tasks that read files, at most
 LEVEL = 1
 CACHE = 500_000  # pieces that a worker process keeps, over its tasks
+_ENCODERS: dict[str, Encoder] = {}
 # Fixed values of the format
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 CHECKSUMS = 0x80
@@ -60,7 +58,6 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known, self.pieces = Tokenizer.from_str(tokenizer_json), {}, {}
@@ -73,7 +70,7 @@ class Encoder:
         split = conf["pre_tokenizer"]["pretokenizers"][0]
         if split["type"] != "Split" or not suffix:
             raise ValueError("a tokenizer with a pattern and an end-of-word suffix is wanted")
-        self.find = regex.compile(split["pattern"]["Regex"]).findall
+        self.find = finder(split["pattern"]["Regex"])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -115,6 +112,13 @@ class Encoder:
         return out
 
 
+def encoder_of(tokenizer_json: str) -> Encoder:
+    """The worker process's encoder, which keeps its pieces for the tasks that run there later."""
+    if tokenizer_json not in _ENCODERS:
+        _ENCODERS[tokenizer_json] = Encoder(tokenizer_json)
+    return _ENCODERS[tokenizer_json]
+
+
 def footer(docs: np.ndarray, frames: np.ndarray) -> bytes:
     index = struct.pack("<II", SKIPPABLE_INDEX, docs.nbytes) + docs.tobytes()
     seek = frames.tobytes() + struct.pack("<IBI", len(frames), CHECKSUMS, SEEKABLE)
@@ -177,11 +181,7 @@ def write(docs: DataFrame, tokenizer_json: str, *, id_col: str = "doc_id", text_
         import xxhash
         import zstandard
 
-        kept = sys.modules.setdefault("_quillstone_encoders", types.ModuleType("_quillstone_encoders")).__dict__
-        name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
-        if name not in kept:  # a worker process builds it once and keeps its pieces for the tasks it runs later
-            kept[name] = Encoder(tokenizer_json)
-        encoder, zip_ = kept[name], zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
+        encoder, zip_ = encoder_of(tokenizer_json), zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True)
         for b in batches:
             for at in range(0, b.num_rows, 128):
                 ids = b.column(0).slice(at, 128)

@@ -426,3 +426,19 @@ def test_pipeline(spark, tmp_path):
         assert stage is corpus_pipeline.STAGES[-1][1] or docs.columns == cols
     assert counts == sorted(counts, reverse=True) and counts[2] == counts[1] and counts[3] < counts[2]
     assert sorted(r["ids_sha256"] for r in corpus_pipeline.run(spark, SF).collect()) == sorted(r["ids_sha256"] for r in docs.collect())
+
+
+@pytest.mark.parametrize("pattern", [public_tokenizers.PATTERN, r"'s|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"])
+def test_quick_finder_of_latin_texts(pattern):
+    import random
+
+    import regex
+
+    from quillstone.llm.common import finder, latin_findall
+
+    quick, every, find, r = latin_findall(pattern), regex.compile(pattern).findall, finder(pattern), random.Random(7)
+    signs = [chr(c) for c in range(256)] + list(" '\n\t sdtm ") * 8
+    for _ in range(20_000):
+        text = "".join(r.choices(signs, k=r.randrange(14)))
+        assert quick(text) == every(text) == find(text)
+    assert find("a \u0416\u0416 1") == every("a \u0416\u0416 1") and latin_findall(r"\w+") is None

@@ -13,6 +13,7 @@ import json
 import struct
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,7 @@ class Encoder:
     """Ids of texts by a tokenizer that drops white space.
 
     Texts are lower-cased and cut by the tokenizer's own pattern into pieces, which are kept; pieces not seen before go to
-    the tokenizer in one joined text, whose ids are cut where a token ends a word. Where normal form or lower case of a
+    the tokenizer's model, their bytes written in its signs. Where normal form or lower case of a
     character could depend on its neighbours (from U+0250 on, and U+0130), the tokenizer gets the text's words between
     ASCII blanks as they are, each word once: such blanks are white space to it and always split words.
     """
@@ -58,34 +59,29 @@ class Encoder:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known, self.pieces = Tokenizer.from_str(tokenizer_json), {}, {}
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         conf = json.loads(tokenizer_json)
-        suffix = conf["model"].get("end_of_word_suffix") or ""
-        vocab = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
-        split = conf["pre_tokenizer"]["pretokenizers"][0]
-        if split["type"] != "Split" or not suffix:
-            raise ValueError("a tokenizer with a pattern and an end-of-word suffix is wanted")
+        split, level = conf["pre_tokenizer"]["pretokenizers"]
+        if (split["type"], level["type"]) != ("Split", "ByteLevel") or level["add_prefix_space"] or level["use_regex"]:
+            raise ValueError("a tokenizer with a pattern, then bytes, is wanted")
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.signs = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0x250)}
         self.find = finder(split["pattern"]["Regex"])
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, pieces: set[str]) -> None:
-        fresh = [x for x in pieces if x not in self.pieces]
-        for at in range(0, len(fresh), 5_000):
-            part = fresh[at : at + 5_000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
-            if len(last) == len(part):
-                raw, ends = ids.tobytes(), (4 * last).tolist()
-                self.pieces.update(zip(part, (raw[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)), strict=True))
-            else:
-                self.pieces.update((x, self.whole(x)) for x in part)
+        tokenize, signs = self.tokenizer.model.tokenize, self.signs
+        for x in pieces:
+            if x not in self.pieces:
+                if max(x) < "\u0250":
+                    self.pieces[x] = array("I", [t.id for t in tokenize(x.translate(signs))]).tobytes()
+                else:
+                    self.pieces[x] = self.whole(x)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         for cache in (self.known, self.pieces):

@@ -78,3 +78,17 @@ def test_pages_samples_and_sources(spark):
     assert {r["name"]: r["n"] for r in K.row_counts({"a": q, "b": q.limit(3)}).collect()} == {"a": 100, "b": 3}
     d = spark.createDataFrame([(0.5, None), (0.9, 0.2)], "a double, b double").select(N.confidence(F.col("a"), F.col("b")).alias("c"))
     assert [r["c"] for r in d.collect()] == [0.5, 0.2]
+
+
+def test_repeals_of_documents_with_several_keys(spark):
+    """Repeated identifiers, several keys, checks said twice: each edge once."""
+    docs = [("a", [1, 2], False), ("a", [2], False), ("b", [2, 3], False), ("b-en", [3], True), ("c-en", [4], True), ("d-en", [4], True), ("", [3], False), (None, [3], False), ("e", None, False), ("f", [None, 1], False)]
+    checks = [(1, "zrušený", [2, 3]), (1, "zrušený", [3, 3, None]), (2, "zrušený", [4, 1]), (3, "účinný", [1]), (9, "zrušený", [1])]
+    d = spark.createDataFrame(docs, "identifier string, keys array<int>, is_variant boolean")
+    got = [tuple(r) for r in K.repeals(d, spark.createDataFrame(checks, "key int, status string, repealed_by array<int>")).collect()]
+    has = lambda k: [(i, v) for i, ks, v in docs if i and k in (ks or [])]
+    wanted = set()
+    for key, by in ((1, 2), (1, 3), (2, 4), (2, 1)):
+        originals = [i for i, v in has(by) if not v] or [min(i for i, _ in has(by))]
+        wanted |= {(s, g, "REPEALS") for g, _ in has(key) for s in originals if s != g}
+    assert len(got) == len(wanted) and set(got) == wanted

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from difflib import SequenceMatcher
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -62,11 +63,16 @@ def _norm(body: Column, number: Column) -> Column:
 
 @dataclass(frozen=True)
 class Family:
-    """How one family is cited: its pattern, what a match is called (null: it is none), and whether acts have a kind."""
+    """How one family is cited: its pattern, what a match is called (null: it is none), and whether acts have a kind.
+
+    Every match holds one of `needs`: a text without them is not searched. Patterns get a look at a match's first sign put
+    before them, which changes no match and passes over other signs at once.
+    """
 
     name: str
     pattern: str
     groups: int
+    needs: tuple[str, ...]
     display: Callable[..., Column]
     accepts: Callable[..., Column] | None = None
     suffix: str = ""
@@ -74,15 +80,20 @@ class Family:
 
 
 FAMILIES = (
-    Family("CZ", _WORDS + CZ, 3, lambda n, y, s: _act(n, y, " Sb."), lambda n, y, s: s == "", " Sb."),
-    Family("CZ-MS", _WORDS + CZ, 3, lambda n, y, s: _act(n, y, " Sb. m. s."), lambda n, y, s: s != "", " Sb. m. s."),
-    Family("SK", _WORDS + SK, 2, lambda n, y: _act(n, y, " Z. z."), None, " Z. z."),
-    Family("EU", _ANY_CASE + EU_BRACKET, 3, _eu_bracket, kinds=True),
-    Family("EU", _ANY_CASE + EU_SUFFIX, 2, _eu, kinds=True),
-    Family("NORM", _WORDS + NORM, 2, _norm),
+    Family("CZ", _WORDS + r"(?=\d)" + CZ, 3, ("Sb.",), lambda n, y, s: _act(n, y, " Sb."), lambda n, y, s: s == "", " Sb."),
+    Family("CZ-MS", _WORDS + r"(?=\d)" + CZ, 3, ("Sb.",), lambda n, y, s: _act(n, y, " Sb. m. s."), lambda n, y, s: s != "", " Sb. m. s."),
+    Family("SK", _WORDS + r"(?=\d)" + SK, 2, ("Z.",), lambda n, y: _act(n, y, " Z. z."), None, " Z. z."),
+    Family("EU", _ANY_CASE + EU_BRACKET, 3, ("(",), _eu_bracket, kinds=True),
+    Family("EU", _ANY_CASE + r"(?=\d)" + EU_SUFFIX, 2, ("/",), _eu, kinds=True),
+    Family("NORM", _WORDS + "(?=[ČCSDBNEI])" + NORM, 2, ("EN", "ISO", "IEC"), _norm),
 )
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once; written out, it is worked out again wherever it stands, in lambdas for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _starts(gaps: Column, found: Column) -> Column:
     """Place (from 0) of each match, as a running sum over the texts between matches and the matches."""
     steps = F.slice(F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("own"))), F.lit(1), F.size(found))
@@ -101,22 +112,33 @@ def _behind(text: Column, at: Column, reach: int) -> Column:
 
 def _kind(text: Column, at: Column) -> Column:
     words = F.regexp_extract_all(_behind(text, at, KIND_REACH), F.lit(_ANY_CASE + EU_KIND), F.lit(1))
-    last = F.lower(F.try_element_at(words, F.lit(-1)))
-    return F.coalesce(*[F.when(last.startswith(p), k) for p, k in KINDS.items()])
+    return _bound(F.lower(F.try_element_at(words, F.lit(-1))), lambda last: F.coalesce(*[F.when(last.startswith(p), k) for p, k in KINDS.items()]))
 
 
-def _of_family(text: Column, family: Family) -> Column:
-    p = F.lit(family.pattern)
-    found = F.regexp_extract_all(text, p, F.lit(0))
-    starts = _starts(F.split(text, family.pattern, -1), found)
-    groups = [F.regexp_extract_all(text, p, F.lit(i + 1)) for i in range(family.groups)]
-    rows = F.arrays_zip(starts.alias("at"), *[g.alias(f"g{i}") for i, g in enumerate(groups)])
+def _hits(text: Column, pattern: str, needs: Sequence[str]) -> Column:
+    """at, own of the matches of a pattern; texts without any are not split."""
+    some = reduce(Column.__or__, [F.contains(text, F.lit(w)) for w in needs])
 
-    def named(x: Column) -> Column:
+    def placed(found: Column) -> Column:
+        starts = _starts(F.split(text, pattern, -1), found)
+        return F.when(F.size(found) > 0, F.zip_with(starts, found, lambda at, own: F.struct(at.alias("at"), own.alias("own")))).otherwise(F.array().cast("array<struct<at:int,own:string>>"))
+
+    return _bound(F.when(some, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>")), placed)
+
+
+def _of_family(text: Column, family: Family, hits: Column) -> Column:
+    # A match alone has the groups that it has in the text: the patterns look around it at its ends only
+    rows = F.transform(hits, lambda x: F.struct(x["at"].alias("at"), *[F.regexp_extract(x["own"], family.pattern, i + 1).alias(f"g{i}") for i in range(family.groups)]))
+
+    def shown(x: Column) -> Column:
         parts = [x[f"g{i}"] for i in range(family.groups)]
         display = family.display(*parts)
         if family.accepts is not None:
             display = F.when(family.accepts(*parts), display)
+        return F.struct(x["at"].alias("at"), display.alias("display"))
+
+    def named(x: Column) -> Column:
+        display = x["display"]
         bare = F.substr(display, F.lit(1), F.length(display) - len(family.suffix)) if family.suffix else display
         kind = _kind(text, x["at"]) if family.kinds else F.lit(None).cast("string")
         amendment = _behind(text, x["at"], PHRASE_REACH).rlike(_ANY_CASE + INTRODUCES)
@@ -125,7 +147,7 @@ def _of_family(text: Column, family: Family) -> Column:
             display.alias("display"), kind.alias("kind"), amendment.alias("amendment"),
         )
 
-    return F.filter(F.transform(rows, named), lambda c: c["key"].isNotNull())
+    return F.transform(F.filter(F.transform(rows, shown), lambda x: x["display"].isNotNull()), named)
 
 
 def citations(text: Column) -> Column:
@@ -133,8 +155,14 @@ def citations(text: Column) -> Column:
 
     amendment: a phrase that introduces amending acts stands before the citation, in the same clause.
     """
-    t = F.coalesce(text, F.lit(""))
-    return F.array_sort(F.concat(*[_of_family(t, f) for f in FAMILIES]))
+    needs = {f.pattern: f.needs for f in FAMILIES}
+    patterns = list(needs)
+
+    def found(t: Column) -> Column:
+        hits = F.struct(*[_hits(t, p, needs[p]).alias(f"h{i}") for i, p in enumerate(patterns)])
+        return _bound(hits, lambda h: F.array_sort(F.concat(*[_of_family(t, f, h[f"h{patterns.index(f.pattern)}"]) for f in FAMILIES])))
+
+    return _bound(F.coalesce(text, F.lit("")), found)
 
 
 def listed_amendments(text: Column, cited: Column) -> Column:
@@ -173,31 +201,37 @@ def citing_unit(keys: Column, doc: Column) -> Column:
 def context(text: Column, at: Column) -> Column:
     """before, cited, after of a place: whole words around the number that the text writes there, blanks squeezed."""
     squeezed = lambda c: F.regexp_replace(c, _WORDS + r"\s+", " ")
-    left, right = _behind(text, at, BEFORE), F.substr(text, at + 1, F.lit(AFTER))
-    whole_left = F.when(at <= BEFORE, left).otherwise(F.when(left.rlike(_WORDS + r"\s"), F.regexp_replace(left, _WORDS + r"(?s)^\S*\s", "")).otherwise(""))
-    ends_here = at + AFTER >= F.length(text)
-    whole_right = F.when(ends_here, right).otherwise(F.regexp_replace(right, r"(?s)^(.+) [^ ]*$", "$1"))
-    cited = F.regexp_extract(F.left(right, F.lit(NUMBER_REACH)), rf"{_WORDS}(?s)^.*?{NUMBER}", 0)
-    return F.struct(
-        F.ltrim(squeezed(whole_left)).alias("before"), squeezed(cited).alias("cited"),
-        F.rtrim(squeezed(F.substr(whole_right, F.length(cited) + 1))).alias("after"),
-    )
+
+    def cut(x: Column) -> Column:
+        left, right = x["left"], x["right"]
+        whole_left = F.when(at <= BEFORE, left).otherwise(F.when(left.rlike(_WORDS + r"\s"), F.regexp_replace(left, _WORDS + r"(?s)^\S*\s", "")).otherwise(""))
+        ends_here = at + AFTER >= F.length(text)
+        whole_right = F.when(ends_here, right).otherwise(F.regexp_replace(right, r"(?s)^(.+) [^ ]*$", "$1"))
+        cited = F.regexp_extract(F.left(right, F.lit(NUMBER_REACH)), rf"{_WORDS}(?s)^.*?{NUMBER}", 0)
+        return F.struct(
+            F.ltrim(squeezed(whole_left)).alias("before"), squeezed(cited).alias("cited"),
+            F.rtrim(squeezed(F.substr(whole_right, F.length(cited) + 1))).alias("after"),
+        )
+
+    return _bound(F.struct(_behind(text, at, BEFORE).alias("left"), F.substr(text, at + 1, F.lit(AFTER)).alias("right")), cut)
 
 
 def contexts(text: Column, most: int = PLACES) -> Column:
     """key, place, amendment and context of the first `most` citations of each key, by key and place."""
-    t = F.coalesce(text, F.lit(""))
-    by_key = F.array_sort(F.transform(citations(t), lambda c: F.struct(c["key"].alias("key"), c["position"].alias("position"), c["amendment"].alias("amendment"))))
 
-    def placed(cited: Column) -> Column:
+    def placed(t: Column, cited: Column) -> Column:
         same = lambda c, i, back: F.coalesce(F.get(cited, i - back)["key"] == c["key"], F.lit(False))
         place = lambda c, i: sum((F.when(same(c, i, b), 1).otherwise(0) for b in range(1, most + 1)), F.lit(1))
         rows = F.transform(cited, lambda c, i: F.struct(c["key"].alias("key"), place(c, i).alias("place"), c["amendment"].alias("amendment"), c["position"].alias("position")))
         first = F.filter(rows, lambda c: c["place"] <= most)
-        around = lambda c: context(t, c["position"])
-        return F.transform(first, lambda c: F.struct(c["key"], c["place"], c["amendment"], *[around(c)[k].alias(k) for k in ("before", "cited", "after")]))
+        around = F.transform(first, lambda c: F.struct(c["key"].alias("key"), c["place"].alias("place"), c["amendment"].alias("amendment"), context(t, c["position"]).alias("w")))
+        return F.transform(around, lambda c: F.struct(c["key"], c["place"], c["amendment"], *[c["w"][k].alias(k) for k in ("before", "cited", "after")]))
+
+    def found(t: Column) -> Column:
+        by_key = F.array_sort(F.transform(citations(t), lambda c: F.struct(c["key"].alias("key"), c["position"].alias("position"), c["amendment"].alias("amendment"))))
+        return _bound(by_key, lambda cited: placed(t, cited))
 
-    return placed(by_key)
+    return _bound(F.coalesce(text, F.lit("")), found)
 
 
 def hint(text: Column, at: Column) -> Column:

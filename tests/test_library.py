@@ -73,6 +73,12 @@ def test_contexts(spark):
     assert one(spark, T.contexts, None) == [] and one(spark, T.contexts, "") == []
 
 
+def test_contexts_search_each_pattern_once(spark):
+    """Five patterns and the two families' kinds: no search is written out again for each citation or field."""
+    df = spark.createDataFrame([("x",)], "t string").select(T.contexts(F.col("t")).alias("c"))
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_extract_all(") == 7
+
+
 def test_own_keys(spark):
     rows = [("2014/68/EU [EN]", ""), ("Nařízení vlády 133/2005", ""), (None, "Vodíková strategie"), ("", "Zákon č. 1/2000 Sb. a 2/2000 Sb."), ("bez čísla", "Zákon č. 1/2000 Sb.")]
     out = spark.createDataFrame(rows, "d string, t string").select(T.own_keys(F.col("d"), F.col("t")).alias("k")).collect()
